@@ -1,9 +1,12 @@
 """Queries of the training-data operators; each covers its whole table."""
 
-from brightwater.llm import language, line_dedup
+from brightwater.llm import language, line_dedup, quality, vector_search, web_archive
 
 QUERIES = {
+    "op5_web_archive": web_archive.query,
+    "op6_vector_search": vector_search.query,
     "op8_line_dedup": line_dedup.query,
     "op9_language_id": language.query,
+    "op10_quality": quality.query,
 }
-ORACLE_SQL = {"op8_line_dedup": line_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op5_web_archive": web_archive.ORACLE_SQL, "op6_vector_search": vector_search.ORACLE_SQL, "op8_line_dedup": line_dedup.ORACLE_SQL}
