@@ -1,8 +1,9 @@
 """Queries of the training-data operators; each covers its whole table."""
 
-from brightwater.llm import language, line_dedup, quality, vector_search, web_archive
+from brightwater.llm import byte_bpe, language, line_dedup, quality, vector_search, web_archive
 
 QUERIES = {
+    "op2_byte_bpe": byte_bpe.query,
     "op5_web_archive": web_archive.query,
     "op6_vector_search": vector_search.query,
     "op8_line_dedup": line_dedup.query,
