@@ -1,11 +1,12 @@
 """Queries of the training-data operators; each covers its whole table."""
 
-from brightwater.llm import byte_bpe, language, line_dedup, quality, vector_search, web_archive
+from brightwater.llm import byte_bpe, language, line_dedup, quality, token_store, vector_search, web_archive
 
 QUERIES = {
     "op2_byte_bpe": byte_bpe.query,
     "op5_web_archive": web_archive.query,
     "op6_vector_search": vector_search.query,
+    "op7_token_store": token_store.query,
     "op8_line_dedup": line_dedup.query,
     "op9_language_id": language.query,
     "op10_quality": quality.query,
