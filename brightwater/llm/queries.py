@@ -1,10 +1,11 @@
 """Queries of the training-data operators; each covers its whole table."""
 
-from brightwater.llm import byte_bpe, decontaminate, language, line_dedup, quality, token_store, vector_search, web_archive
+from brightwater.llm import byte_bpe, decontaminate, language, line_dedup, near_dedup, quality, token_store, vector_search, web_archive
 
 QUERIES = {
     "op2_byte_bpe": byte_bpe.query,
     "op3_decontaminate": decontaminate.query,
+    "op4_near_dedup": near_dedup.query,
     "op5_web_archive": web_archive.query,
     "op6_vector_search": vector_search.query,
     "op7_token_store": token_store.query,
