@@ -1,8 +1,9 @@
 """Queries of the training-data operators; each covers its whole table."""
 
-from brightwater.llm import byte_bpe, decontaminate, language, line_dedup, near_dedup, quality, token_store, vector_search, web_archive
+from brightwater.llm import byte_bpe, decontaminate, language, line_dedup, near_dedup, quality, suffix_dedup, token_store, vector_search, web_archive
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.query,
     "op2_byte_bpe": byte_bpe.query,
     "op3_decontaminate": decontaminate.query,
     "op4_near_dedup": near_dedup.query,
