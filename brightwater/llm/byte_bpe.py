@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from brightwater.llm import common
 
 #: Chunks, pairs and transitions that a worker keeps at most; then it starts over.
-CACHE = 300_000
+CACHE, MOVES = 300_000, 500_000
+#: Fixed value: the split pattern for which a blank and letters are known to be one piece.
+SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 HYPOTHESES, END = -1, -2
 
 
@@ -132,11 +134,14 @@ class Transducer:
         return move
 
     def encode(self, piece: bytes) -> list[int]:
-        if self.moves >= CACHE:
+        if self.moves >= MOVES:
             self._reset()
         state, out = self.start, []
         for byte in piece:
-            state, emitted = state[byte] if byte in state else self._move(state, byte)
+            try:
+                state, emitted = state[byte]
+            except KeyError:
+                state, emitted = self._move(state, byte)
             if emitted:
                 out += emitted
         if state[END] is None:
@@ -145,6 +150,10 @@ class Transducer:
         return out
 
 
+def _one_word(chunk: str) -> bool:
+    return chunk[1:].isalpha() if chunk[:1] == " " else chunk.isalpha()
+
+
 class Encoder:
     """Tokens of texts, and texts of tokens."""
 
@@ -154,6 +163,7 @@ class Encoder:
         self.transducer = Transducer(ranks)
         self.pieces = regex.compile(pattern).findall
         self.chunks = regex.compile(r" (?=\S)").split
+        self.plain = _one_word if pattern == SPLIT_PATTERN else lambda _: False
         self.blank = regex.compile(r" (?:\s|$)").search
         self.bytes_of = [self.transducer.tokens.get(i, b"") for i in range(max(self.transducer.tokens, default=-1) + 1)]
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
@@ -168,7 +178,8 @@ class Encoder:
             known.clear()
         for c in {c for c in chunks if c not in kept}:
             out: tuple[int, ...] = ()
-            for p in self.pieces(c):
+            # A blank and letters are one piece.
+            for p in (c,) if self.plain(c) else self.pieces(c):
                 ids = known.get(p)
                 if ids is None:
                     ids = known[p] = tuple(encode(p.encode()))
