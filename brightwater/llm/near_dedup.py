@@ -7,8 +7,9 @@ threshold, so that two sets just at it miss all bands with a chance under MISS.
 Equal sets are one node from the start. Of nodes that share a band only those can have a link whose shingles are shared
 enough: a node with u shingles that no other candidate has is at best (n - u) / n similar to anything. In each band the
 node with the fewest such shingles is compared with all others, the links are confirmed on full sets, and components
-formed; then only pairs of a band that lie in different components are still compared, except those that the bound
-rules out. No link is lost and no group is expanded into all its pairs.
+formed. Where a band still holds several components, its nodes are compared across components only, and only if they
+share one of their rarest shingles at places that leave room for enough others. No link is lost and no group is
+expanded into all its pairs.
 
 Defined cases: null and empty texts and those without words have an empty set, are linked with nothing and kept; rows
 with a null id are linked with nothing and kept; rows with the same id are one node that has the links of each; with
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from brightwater.llm import common
 from brightwater.llm.components import components
@@ -49,10 +51,10 @@ def shingles(texts: pa.Array, words: int = SHINGLE_WORDS) -> list[np.ndarray]:
     body, at = common.utf8(texts)
     _, _, hashes, first = common.words_of(body, at, _WORD, _CODE)
     power = common.powers(_STEP, words)
-    n = len(hashes)
-    sums = np.zeros(max(0, n - words + 1), np.uint64)
+    n = max(0, len(hashes) - words + 1)
+    sums = np.zeros(n, np.uint64)
     for k in range(words):
-        sums += hashes[k : n - words + 1 + k] * power[k]
+        sums += hashes[k : k + n] * power[k]
     sums = common.mix(sums)
     out = []
     for a, b in zip(first[:-1], first[1:], strict=True):
@@ -119,7 +121,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFra
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]), pa.int32())
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([len(x) for x in sets], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64)))], ["id", "n", "shingles"])
 
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(nodes, "id", "left_semi")
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(nodes.hint("merge"), "id", "left_semi")  # the nodes grow with the corpus: no broadcast
     return common.cut(rows.mapInArrow(make, "id long, n long, shingles array<long>"), "sets")
 
 
@@ -150,6 +152,27 @@ def _possible(percent: int, a: str, b: str):
     return 100 * shared >= percent * (F.col(f"{a}_n") + F.col(f"{b}_n") - shared)
 
 
+def _prefix_pairs(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes (id, n, shingles, component) in different components that can be similar enough.
+
+    With all shingles in one order, rarest first, two similar sets share one among the first n - percent * n + 1 of
+    each; all that stand before the first shared one are not shared, which bounds the similarity. A shingle's rows of
+    its smallest component meet only those of its others.
+    """
+    rows = common.cut(nodes.select("id", F.xxhash64("shingles").alias("set"), "n", "component", F.explode("shingles").alias("h")), "shingles")
+    counts = rows.groupBy("h").agg(F.count("*").alias("df"), F.min("component").alias("x"), F.max("component").alias("y"))
+    ranked = common.join_keyed(rows, common.cut(counts, "counts"), ["h"], "df")
+    place = (F.row_number().over(Window.partitionBy("id", "set").orderBy("df", "h")) - 1).alias("place")
+    ranked = ranked.select("id", "n", "component", "h", "df", "x", "y", place)
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1
+    ranked = common.cut(ranked.where((F.col("place") < first) & (F.col("x") < F.col("y"))), "prefixes")
+    side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "component", "place")]
+    others = ranked.where(F.col("component") > F.col("x")).select("h", *side("a"))
+    shared = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    fit = (F.col("a_component") != F.col("b_component")) & (100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared))
+    return others.join(ranked.select("h", *side("b")), "h").where(fit).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+
+
 def links(classes: DataFrame, docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
     """(a, b): confirmed links between class representatives that connect whatever is linked."""
     rows = classes.select("id", F.posexplode("bands").alias("band", "value"))
@@ -170,13 +193,12 @@ def links(classes: DataFrame, docs: DataFrame, percent: int, key: str, text: str
     star = common.cut(star.where((F.col("a") != F.col("b")) & _possible(percent, "a", "b")).select("a", "b").distinct(), "pairs")
     linked = confirmed(star, sets, percent)
     found = components(linked)
-    # What is left: pairs of a band in different components, smaller id first.
-    placed = members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # What is left: bands that hold several components.
+    placed = common.cut(members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
     mixed = placed.groupBy("band", "value").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x < y").select("band", "value", "size")
-    placed = common.cut(common.join_keyed(common.cut(placed, "placed"), mixed, ["band", "value"], "size"), "placed")
-    side = lambda s: placed.select("band", "value", *(F.col(c).alias(f"{s}_{c}" if c != "id" else s) for c in ("id", "n", "u", "component")))
-    rest = side("a").join(side("b"), ["band", "value"]).where((F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component")) & _possible(percent, "a", "b"))
-    rest = common.cut(rest.select("a", "b").distinct().join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    open_ = common.cut(common.join_keyed(placed, mixed, ["band", "value"], "size").groupBy("id").agg(F.first("component").alias("component")), "open")
+    rest = _prefix_pairs(sets.select("id", "n", "shingles").join(open_, "id"), percent)
+    rest = common.cut(rest.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
     more = confirmed(rest, sets, percent)
     return linked.unionByName(more)
 
