@@ -56,6 +56,17 @@ def unzip(archive: str, to: str) -> list[str]:
     return out
 
 
+def land_files(spark: SparkSession, source: str, to: str, pattern: str = "*.csv") -> list[str]:
+    """Copies the files below a folder that fit a pattern into another, by their bare names; overwrites. Both may lie in any store."""
+    out = []
+    for path in files_below(spark, source, pattern):
+        fs, here = _fs(spark, path)
+        target_fs, there = _fs(spark, f"{to.rstrip('/')}/{here.getName()}")
+        spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, here, target_fs, there, False, True, spark.sparkContext._jsc.hadoopConfiguration())
+        out.append(there.toString())
+    return sorted(out)
+
+
 def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """(path, modified, length) of all files below a folder; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
