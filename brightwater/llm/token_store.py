@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import re
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,11 +35,12 @@ from pyspark.sql import functions as F
 from brightwater.llm import common
 
 MAGIC = b"BWRANS1\n"
-BLOCK, LANES = 1 << 16, 256
+BLOCK, LANES = 1 << 16, 512
 #: A file takes whole documents until it has this many ids; a partition has PART_IDS on average.
-FILE_IDS, PART_IDS, MAX_PARTS = 1 << 20, 4 << 20, 20_000
+FILE_IDS, PART_IDS, MAX_PARTS = 1 << 21, 4 << 20, 20_000
 LOW = np.uint64(1 << 31)
-CACHE = 300_000
+#: Words, and parts of words, that a worker keeps at most (then it starts over); and how many are encoded in one string.
+CACHE, TOGETHER = 700_000, 500
 END_ID = 2
 
 
@@ -46,45 +49,86 @@ class TokenFileError(ValueError):
 
 
 class WordEncoder:
-    """The tokenizers library over texts whose words are mostly known: blanks end words, so those that aren't kept are encoded together."""
+    """The tokenizers library over texts whose words are mostly known.
+
+    It normalises to composed lower case, and its pieces end at blanks, at single digits, and where letters end. So a
+    word's letters and the rest are kept apart, letters that aren't known are encoded together with a digit between,
+    and texts of plain Latin letters come in lower case at once.
+    """
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel already
         self.tokenizer = Tokenizer.from_file(path)
         with open(path) as file:
-            special = [(t["content"], t["id"]) for t in json.load(file)["added_tokens"] if t["special"]]
-        self.between = special[0] if special else None
-        self.special = re.compile("|".join(re.escape(t) for t, _ in special)).search if special else lambda _: None
+            special = [t["content"] for t in json.load(file)["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, special)), re.IGNORECASE).search if special else lambda _: None
         self.width = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.odd = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+        #: Beyond these characters lower case or composition may depend on what stands around.
+        self.other = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u012f\u0131-\u017f]").search
         self.blanks = re.compile(r"[\t-\r ]+").split
-        self.kept: dict[str, bytes] = {}
+        self.letters = regex.compile(r"(\p{L}+)(.*)", regex.DOTALL).fullmatch
+        zero = self._ids("0")
+        self.zero = int(zero[0]) if len(zero) == 1 else None
+        #: Words, and letters and rests of words, with their ids.
+        self.kept: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
 
-    def _fill(self, words: list[str]) -> None:
-        if len(self.kept) > CACHE:
-            self.kept.clear()
-        new = list({w for w in words if w not in self.kept})
-        apart = [w for w in new if self.between is None or self.special(w)]
-        for w in apart:
-            self.kept[w] = self._ids(w).tobytes()
-        if together := [w for w in new if w not in self.kept]:
-            ids = self._ids(self.between[0].join(together))
-            at = np.flatnonzero(ids == self.between[1])
-            for w, a, b in zip(together, [0, *(at + 1)], [*at, len(ids)], strict=True):
-                self.kept[w] = ids[a:b].tobytes()
+    def _many(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self.width) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _fill(self, words: set[str]) -> None:
+        """Encodes the words, none of which is kept."""
+        kept = self.kept
+        together, apart, cut = set(), set(), []
+        for w in words:
+            # The normaliser must leave what is encoded together as it is, whatever comes next.
+            if self.zero is None or self.other(w) and not (w == w.lower() and unicodedata.is_normalized("NFC", w)):
+                apart.add(w)
+            elif w.isalpha():
+                together.add(w)
+            elif (found := self.letters(w)) and found[2][:1].isascii():
+                head, rest = found[1], found[2]
+                cut.append((w, head, rest))
+                if head not in kept:
+                    together.add(head)
+                if rest not in kept:
+                    apart.add(rest)
+            else:
+                apart.add(w)
+        alone = list(apart)
+        for w, ids in zip(alone, self._many(alone), strict=True):
+            kept[w] = ids.tobytes()
+        new = list(together)
+        parts = [new[i : i + TOGETHER] for i in range(0, len(new), TOGETHER)]
+        for part, ids in zip(parts, self._many([" 0 ".join(part) for part in parts]), strict=True):
+            ends = np.flatnonzero(ids == self.zero) * ids.itemsize
+            data, first = ids.tobytes(), 0
+            for w, end in zip(part, [*ends.tolist(), len(data)], strict=True):
+                kept[w] = data[first:end]
+                first = end + ids.itemsize
+        for w, head, rest in cut:
+            kept[w] = kept[head] + kept[rest]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, one after the other in self.width."""
+        out: list[bytes | None] = [self._ids(t).tobytes() if self.special(t) else None for t in texts]
+        words = [None if o is not None else self.blanks(t) if self.other(t) else t.lower().split() for t, o in zip(texts, out, strict=True)]
+        missing = set().union(*(w for w in words if w is not None)).difference(self.kept)
+        if missing:
+            if len(self.kept) + len(missing) > CACHE:
+                self.kept = {"": b""}
+                missing = set().union(*(w for w in words if w is not None)) - {""}
+            self._fill(missing)
+        get = self.kept.__getitem__
+        return [b"".join(map(get, w)) if o is None else o for w, o in zip(words, out, strict=True)]
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text, one after the other in self.width."""
-        words = self.blanks(text) if self.odd(text) else text.split()
-        try:
-            return b"".join(map(self.kept.__getitem__, words))
-        except KeyError:
-            self._fill(words)
-            return b"".join(map(self.kept.__getitem__, words))
+        return self.encode_all([text])[0]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -193,16 +237,20 @@ def pack(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int], table:
     number = np.array([x or 0 for x in doc_ids], "<i8").tobytes() + np.array([x is None for x in doc_ids], bool).tobytes() + np.array(lengths, "<i8").tobytes()
     directory = b"".join(struct.pack("<QQIII", *e) for e in entries)
     tail = zlib.compress(directory + number, 1)
-    out.write(tail + struct.pack("<QIIQII", len(tail), table.stamp, len(entries), len(doc_ids), zlib.crc32(tail), 0) + MAGIC)
+    foot = struct.pack("<QIIQI", len(tail), table.stamp, len(entries), len(doc_ids), zlib.crc32(tail))
+    out.write(tail + foot + struct.pack("<I", zlib.crc32(foot)) + MAGIC)
     return out.getvalue()
 
 
 def unpack(data: bytes, table: Table) -> tuple[np.ndarray, list[int | None], np.ndarray]:
     """The ids of a token file, and its documents' ids and lengths; raises TokenFileError if a checksum doesn't fit."""
-    foot = struct.calcsize("<QIIQII")
+    foot = struct.calcsize("<QIIQI") + 4
     if len(data) < foot + 16 or data[:8] != MAGIC or data[-8:] != MAGIC:
         raise TokenFileError("no token file")
-    size, stamp, n_blocks, n_docs, check, _ = struct.unpack("<QIIQII", data[-8 - foot : -8])
+    *fields, own = struct.unpack("<QIIQII", data[-8 - foot : -8])
+    if zlib.crc32(data[-8 - foot : -12]) != own:
+        raise TokenFileError("a damaged footer")
+    size, stamp, n_blocks, n_docs, check = fields
     tail = data[-8 - foot - size : -8 - foot]
     if stamp != table.stamp or zlib.crc32(tail) != check:
         raise TokenFileError("another table, or a damaged directory")
@@ -223,12 +271,13 @@ def unpack(data: bytes, table: Table) -> tuple[np.ndarray, list[int | None], np.
 
 def tokenize(docs: DataFrame, path: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n, crc, ids): each text's ids with the end id, as a written table, so that texts are encoded once."""
+    common.prepare(docs.sparkSession)
 
     def rows(batches):
         own = word_encoder(path)
         end = np.array([end_id], own.width).tobytes()
-        for part in common.sliced(batches, "text"):
-            ids = [own.encode(x.as_py() or "") + end for x in part.column("text")]
+        for part in common.sliced(batches, "text", 1 << 19):
+            ids = [x + end for x in own.encode_all([x or "" for x in part.column("text").to_pylist()])]
             n = [len(x) // np.dtype(own.width).itemsize for x in ids]
             crc = [zlib.crc32(np.frombuffer(x, own.width).astype("<u4").tobytes()) for x in ids]
             yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(ids, pa.binary())], ["key", "n", "crc", "ids"])
@@ -295,6 +344,7 @@ def write(tokens: DataFrame, folder: str, table: Table, width) -> DataFrame:
 
 def read(files: DataFrame, table: Table, ids: bool = False) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32[, ids]) of each document in the files."""
+    common.prepare(files.sparkSession)
     ends, sums = 0, {}
     for part, n in sorted(files.groupBy("part").agg(F.sum("n")).collect()):  # MAX_PARTS rows at most
         sums[part] = ends
