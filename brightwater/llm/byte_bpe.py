@@ -263,6 +263,7 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: bool = True) -> DataFrame:
     """docs with __n_tokens, __ids_sha256, __decoded_sha256 and, if asked for, __ids; what is decoded comes from the ids."""
+    common.prepare(docs.sparkSession)
     from pyspark.sql.functions import arrow_udf
 
     kind = pa.struct([("n", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
@@ -286,6 +287,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: bo
 
 def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """rows with __text, the text of their token ids; null for null."""
+    common.prepare(rows.sparkSession)
     from pyspark.sql.functions import arrow_udf
 
     @arrow_udf("string")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +23,31 @@ MAX_HOT = 500
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bounded Arrow batches for the Python stages."""
+    """Bounded Arrow batches for the Python stages, and this package's code for the machines that run them."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    context = spark.sparkContext
+    if getattr(context, "_brightwater", None) is None:
+        context._brightwater = _ship(spark)
     return spark
 
 
+def _ship(spark: SparkSession) -> str:
+    """Gives the executors the package as a ZIP file, so nothing has to be installed there; returns its place."""
+    top, packed_ = Path(__file__).resolve().parent.parent, io.BytesIO()
+    with zipfile.ZipFile(packed_, "w") as z:
+        for file in sorted(top.rglob("*.py")):
+            z.writestr(str(file.relative_to(top.parent)), file.read_bytes())
+    at = f"{scratch(spark, 'code')}.zip"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.deleteOnExit(path)
+    sink = fs.create(path)
+    sink.write(packed_.getvalue())
+    sink.close()
+    spark.sparkContext.addPyFile(at)
+    return at
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -67,6 +90,11 @@ def join_keyed(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str,
     return rows.join(F.broadcast(hot), keys).unionByName(cold)
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of df as the struct __row."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row")
+
+
 def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary array, one text after the other, and their n + 1 offsets; null is empty."""
     if isinstance(array, pa.ChunkedArray):
@@ -172,10 +200,3 @@ def words_of(body: np.ndarray, at: np.ndarray, is_word: np.ndarray, code: np.nda
     hashes = mix((total[last] - total[first]) * powers(UNBASE, n)[first] + (last - first).astype(np.uint64))
     return first, last, hashes, np.searchsorted(first, at)
 
-
-def as_long(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
-
-
-def hex_sha256(c: Column) -> Column:
-    return F.sha2(c, 256)

@@ -7,8 +7,9 @@ aggregation, smoothed towards its parent domain, that towards all pages, and tha
 Trigrams overlap, so the text's log likelihood is that of TEXT_WEIGHT independent trigrams at most; a page of a few
 words leans on the other evidence, a long one speaks for itself.
 
-Defined cases: null and empty texts bring no text evidence and are rejected as "und", as are texts whose trigrams fit
-no language better than chance; null declarations, addresses and hosts are neutral; ties go to the first language in
+Defined cases: null and empty texts, those without a letter, and those of LEAST_TRIGRAMS that fit no language better
+than chance are rejected as "und"; shorter ones with a letter go by the other evidence; null declarations, addresses
+and hosts are neutral; ties go to the first language in
 alphabetical order; with no labelled row at all every text is "und". Repeated rows are judged alike, an empty table
 gives an empty result, and other columns pass through.
 """
@@ -28,6 +29,8 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.05
 #: The text counts as this many independent trigrams at most, or as a third of those it has.
 TEXT_WEIGHT = 200.0
+#: From this many trigrams on, a text that fits no language better than chance is in none.
+LEAST_TRIGRAMS = 30
 #: Chance that a declared language, and that of an address suffix, is the text's.
 DECLARED, SUFFIX = 0.9, 0.8
 #: Pages that a parent's prior counts as.
@@ -37,16 +40,26 @@ MIN_POSTERIOR = 0.5
 SUFFIXES = {"at": "de", "de": "de", "ar": "es", "cl": "es", "es": "es", "mx": "es", "fr": "fr", "au": "en", "uk": "en", "us": "en"}
 
 
-def trigrams(array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of all byte trigrams (A-Z in lower case) that lie in one text, and each text's first and number."""
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
+
+
+def trigrams(array: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each text the buckets of its byte trigrams (A-Z in lower case) without digits, which are of no language; and whether it has a letter."""
     body, at = common.utf8(array)
-    count = np.maximum(np.diff(at) - 2, 0)
     if len(body) < 3:
-        return np.empty(0, np.int64), np.zeros(len(count), np.int64), np.zeros(len(count), np.int64)
-    b = common.lowered()[body].astype(np.uint32)
-    x = b[:-2] * np.uint32(0x1F1F35) ^ b[1:-1] * np.uint32(0x9E3779B1) ^ b[2:] * np.uint32(0x85EBCA6B)
-    x = (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(16)
-    return x, np.minimum(at[:-1], len(x)), count
+        x, plain = np.empty(0, np.uint32), np.empty(0, bool)
+    else:
+        b = common.lowered()[body].astype(np.uint32)
+        x = b[:-2] * np.uint32(0x1F1F35) ^ b[1:-1] * np.uint32(0x9E3779B1) ^ b[2:] * np.uint32(0x85EBCA6B)
+        x = (x ^ (x >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(16)
+        digit = _DIGIT[body]
+        plain = ~(digit[:-2] | digit[1:-1] | digit[2:])
+    letters = np.concatenate([[0], np.cumsum(_LETTER[body])])
+    ends = np.maximum(at[1:] - 2, at[:-1])
+    return [x[a:b][plain[a:b]] for a, b in zip(at[:-1], ends, strict=True)], letters[at[1:]] > letters[at[:-1]]
 
 
 class TextModel:
@@ -57,20 +70,19 @@ class TextModel:
         share = (counts + SMOOTHING) / (counts.sum(axis=1, keepdims=True) + SMOOTHING * BUCKETS)
         self.table = np.log(share * BUCKETS).T.astype(np.float32).copy() if languages else np.zeros((BUCKETS, 1), np.float32)
 
-    def score(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Mean log likelihood of each text for each language, and the number of trigrams."""
-        grams, first, count = trigrams(array)
-        sums = np.zeros((len(count), self.table.shape[1]))
-        for i in range(len(count)):
-            if count[i]:
-                own = grams[first[i] : first[i] + count[i]]
-                for k in range(0, len(own), 1 << 18):
-                    sums[i] += self.table[own[k : k + (1 << 18)]].sum(axis=0, dtype=np.float64)
-        return sums / np.maximum(count, 1)[:, None], count
+    def score(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Mean log likelihood of each text for each language, the number of trigrams, and whether there is a letter."""
+        grams, lettered = trigrams(array)
+        sums, count = np.zeros((len(grams), self.table.shape[1])), np.array([len(g) for g in grams], np.int64)
+        for i, own in enumerate(grams):
+            for k in range(0, len(own), 1 << 18):
+                sums[i] += self.table[own[k : k + (1 << 18)]].sum(axis=0, dtype=np.float64)
+        return sums / np.maximum(count, 1)[:, None], count, lettered
 
 
 def train(docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "text", rows: int = TRAIN_ROWS) -> TextModel:
     """The text model of at most ``rows`` labelled rows; held-out rows (crc32 of the id mod 5 is 0) are left out."""
+    common.prepare(docs.sparkSession)
     labelled = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.crc32(F.col(key).cast("string")) % 5 != 0))
     ids = labelled.select(key, F.xxhash64(key).alias("__h")).orderBy("__h").limit(rows).select(key).distinct()
     sample = labelled.join(F.broadcast(ids), key, "left_semi").select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"))
@@ -78,10 +90,10 @@ def train(docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str =
     def count(batches):
         found: dict[str, np.ndarray] = {}
         for part in common.sliced(batches, "text"):
-            grams, first, n = trigrams(part.column("text"))
-            for i, name in enumerate(part.column("label").to_pylist()):
-                own = found.setdefault(name, np.zeros(BUCKETS, np.int64))
-                own += np.bincount(grams[first[i] : first[i] + n[i]], minlength=BUCKETS)
+            grams, _ = trigrams(part.column("text"))
+            for name, own in zip(part.column("label").to_pylist(), grams, strict=True):
+                total = found.setdefault(name, np.zeros(BUCKETS, np.int64))
+                total += np.bincount(own, minlength=BUCKETS)
         for name, own in found.items():
             used = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(own[used], pa.int64())], ["label", "bucket", "n"])
@@ -96,25 +108,25 @@ def train(docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str =
 
 
 def _evidence(model: TextModel):
-    """An Arrow function of texts: for each language the weighted log likelihood; empty where it is no better than chance."""
+    """An Arrow function of texts: for each language the weighted log likelihood; neutral where there is too little text, empty where it fits no language."""
     from pyspark.sql.functions import arrow_udf
 
     @arrow_udf("array<double>")
     def evidence(texts: pa.Array) -> pa.Array:
-        mean, count = [], []
+        found = []
         _, at = common.utf8(texts)
         first = 0
         while first < len(texts):
             last = max(first + 1, int(np.searchsorted(at, at[first] + common.SLICE_BYTES, "right")) - 1)
-            m, c = model.score(texts.slice(first, last - first))
-            mean.append(m)
-            count.append(c)
+            found.append(model.score(texts.slice(first, last - first)))
             first = last
-        if not mean:
+        if not found:
             return pa.array([], pa.list_(pa.float64()))
-        mean, count = np.concatenate(mean), np.concatenate(count)
+        mean, count, lettered = (np.concatenate(x) for x in zip(*found, strict=True))
         weighted = mean * np.minimum(count / 3.0, TEXT_WEIGHT)[:, None]
-        known = (mean.max(axis=1) > 0) & (count > 0)
+        good = (mean.max(axis=1) > 0) & (count > 0)
+        weighted[~good] = 0.0  # too little to tell, or no language at all
+        known = good | lettered & (count < LEAST_TRIGRAMS)
         sizes = np.where(known, weighted.shape[1], 0)
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(weighted[known].ravel()))
 
@@ -145,16 +157,19 @@ def address_host(url: Column) -> Column:
 
 def identify(docs: DataFrame, model: TextModel, text: str = "text", declared: Column | None = None, host: Column | None = None) -> DataFrame:
     """docs with __lang ("und" if rejected as no language), __confidence, __text_lang and __accepted."""
+    common.prepare(docs.sparkSession)
     languages = model.languages
     if not languages:
         none = F.lit(None).cast("string")
         return docs.withColumns({"__text_lang": none, "__lang": F.lit("und"), "__confidence": F.lit(0.0), "__accepted": F.lit(False)})
     evidence = _evidence(model)
     host = F.lower((F.lit(None) if host is None else host).cast("string"))
-    keyed = docs.withColumn("__host", F.coalesce(F.concat(F.lit("="), host), F.lit("-")))
+    said = F.lit(None).cast("string") if declared is None else F.lower(F.substring(declared.cast("string"), 1, 2))
+    # The row goes along as one column, so its names can't clash with those used here.
+    keyed = docs.select(common.packed(docs), F.col(text).alias("__text"), F.coalesce(F.concat(F.lit("="), host), F.lit("-")).alias("__host"), said.alias("__stated"))
     k = len(languages)
     # What the texts of a host say: sums of k posteriors, partly summed before the shuffle.
-    votes = keyed.select("__host", evidence(F.col(text)).alias("__e")).where(F.size("__e") > 0).select("__host", _softmax(F.col("__e")).alias("__p"))
+    votes = keyed.select("__host", evidence(F.col("__text")).alias("__e")).where(F.size("__e") > 0).select("__host", _softmax(F.col("__e")).alias("__p"))
     by_host = common.cut(votes.groupBy("__host").agg(F.count("*").alias("__n"), *(F.sum(F.col("__p")[i]).alias(f"__s{i}") for i in range(k))), "hosts")
     name = F.expr("substring(__host, 2)")
     parent = F.when(F.size(F.split(name, r"\.")) > 2, F.regexp_replace(name, r"^[^.]*\.", "")).otherwise(F.element_at(F.split(name, r"\."), -1))
@@ -167,16 +182,15 @@ def identify(docs: DataFrame, model: TextModel, text: str = "text", declared: Co
     joined = common.join_keyed(keyed, priors, ["__host"], "__n", "left")
     suffix = F.element_at(F.split("__host", r"\."), -1)
     by_suffix = F.create_map(*(F.lit(x) for pair in SUFFIXES.items() for x in pair))[suffix] if SUFFIXES else F.lit(None)
-    said = F.lit(None).cast("string") if declared is None else F.lower(F.substring(declared.cast("string"), 1, 2))
-    by_declared, by_address = _said(languages, said, DECLARED), _said(languages, by_suffix, SUFFIX)
+    by_declared, by_address = _said(languages, F.col("__stated"), DECLARED), _said(languages, by_suffix, SUFFIX)
     default = F.array(*(F.lit(float(np.log(x))) for x in top))
-    out = joined.withColumns({"__e": evidence(F.col(text)), "__base": F.coalesce("__prior", default), "__said": F.array(*(a + b for a, b in zip(by_declared, by_address, strict=True)))})
+    out = joined.withColumns({"__e": evidence(F.col("__text")), "__base": F.coalesce("__prior", default), "__said": F.array(*(a + b for a, b in zip(by_declared, by_address, strict=True)))})
     out = out.withColumn("__all", F.when(F.size("__e") > 0, _softmax(F.zip_with(F.zip_with("__e", "__base", lambda a, b: a + b), "__said", lambda a, b: a + b))))
     best = lambda c: F.element_at(F.array(*map(F.lit, languages)), F.array_position(c, F.array_max(c)).cast("int"))
     confidence = F.coalesce(F.array_max("__all"), F.lit(0.0))
     accepted = confidence >= MIN_POSTERIOR
     new = {"__text_lang": F.when(F.size("__e") > 0, best(F.col("__e"))), "__lang": F.when(accepted, best(F.col("__all"))).otherwise("und"), "__confidence": confidence, "__accepted": accepted}
-    return out.withColumns(new).select(*docs.columns, *new)
+    return out.withColumns(new).select("__row.*", *new)
 
 
 def documents(docs: DataFrame) -> DataFrame:

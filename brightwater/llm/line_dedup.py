@@ -46,14 +46,14 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", max_r
 def cut_lines(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """docs with their boilerplate lines cut from ``text``, and the columns __n_lines and __n_dropped."""
     drop = boilerplate(docs, text, host, max_ratio, min_pages)
-    keyed = docs.withColumn("__host", _host(host))
-    marked = common.join_keyed(keyed, drop, ["__host"], "__pages", "left").withColumn("__lines", F.split(F.col(text), "\n"))
+    # The row goes along as one column, so its names can't clash with those used here.
+    keyed = docs.select(common.packed(docs), _host(host).alias("__host"), F.split(F.col(text), "\n").alias("__lines"))
+    marked = common.join_keyed(keyed, drop, ["__host"], "__pages", "left")
     kept = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(F.filter("__lines", lambda x: ~F.array_contains(F.col("__drop"), _key(x))))
     marked = marked.withColumn("__kept", kept)
-    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
-    counts = {"__n_lines": F.when(F.col(text).isNull(), F.lit(0)).otherwise(size("__lines")).cast("long")}
-    counts["__n_dropped"] = F.when(F.col(text).isNull(), F.lit(0)).otherwise(size("__lines") - size("__kept")).cast("long")
-    return marked.withColumns(counts | {text: F.when(F.col(text).isNotNull(), F.array_join("__kept", "\n"))}).select(*docs.columns, *counts)
+    size = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).cast("long")
+    columns = [F.array_join("__kept", "\n").alias(c) if c == text else F.col(f"__row.`{c}`") for c in docs.columns]
+    return marked.select(*columns, size("__lines").alias("__n_lines"), (size("__lines") - size("__kept")).alias("__n_dropped"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

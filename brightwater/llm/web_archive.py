@@ -235,6 +235,7 @@ def roles(pages: DataFrame, key: str = "page_id", payload: str = "html") -> Data
 
 def write(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Writes pages (with __target) as WARC below ``folder``, through ARC; returns (file, records, bytes) of each file."""
+    common.prepare(pages.sparkSession)
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), F.col(payload).alias("payload"), F.col("__target").cast("long").alias("target"))
 
     def save(batches):
@@ -273,6 +274,7 @@ SCHEMA = "page_id long, url string, record_type string, payload_bytes long, payl
 
 def read(files: DataFrame, payloads: bool = True) -> DataFrame:
     """The records of WARC files as rows of SCHEMA; sizes and digests are those of the full payload."""
+    common.prepare(files.sparkSession)
 
     def load(batches):
         for batch in batches:
