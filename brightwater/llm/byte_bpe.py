@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from brightwater.llm import common
 
 #: Chunks, pairs and transitions that a worker keeps at most; then it starts over.
-CACHE, MOVES = 300_000, 500_000
+CACHE, MOVES = 200_000, 300_000
 #: Fixed value: the split pattern for which a blank and letters are known to be one piece.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 HYPOTHESES, END = -1, -2
@@ -44,8 +44,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Tokens of a piece of bytes, by the ranks of their merges."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], keep: int | None = None):
+        self.ranks, self.most, self.most_moves = ranks, keep or CACHE, keep * 3 // 2 if keep else MOVES
         self.tokens = {v: k for k, v in ranks.items()}
         #: For each token and each beginning of one: twice the token (-2 for none), and one more if a longer token begins so.
         self.nodes = {k: 2 * v for k, v in ranks.items()}
@@ -101,7 +101,7 @@ class Transducer:
                         break
                 if not found:
                     break
-            if len(self._agree) >= CACHE:
+            if len(self._agree) >= self.most:
                 self._agree.clear()
             self._agree[key] = found
         return found
@@ -134,7 +134,7 @@ class Transducer:
         return move
 
     def encode(self, piece: bytes) -> list[int]:
-        if self.moves >= MOVES:
+        if self.moves >= self.most_moves:
             self._reset()
         state, out = self.start, []
         for byte in piece:
@@ -157,10 +157,10 @@ def _one_word(chunk: str) -> bool:
 class Encoder:
     """Tokens of texts, and texts of tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, keep: int | None = None):
         import regex
 
-        self.transducer = Transducer(ranks)
+        self.transducer, self.most = Transducer(ranks, keep), keep or CACHE
         self.pieces = regex.compile(pattern).findall
         self.chunks = regex.compile(r" (?=\S)").split
         self.plain = _one_word if pattern == SPLIT_PATTERN else lambda _: False
@@ -172,9 +172,9 @@ class Encoder:
 
     def _fill(self, chunks: list[str]) -> None:
         kept, known, encode = self.kept, self.known, self.transducer.encode
-        if len(kept) > CACHE:
+        if len(kept) > self.most:
             kept.clear()
-        if len(known) > CACHE:
+        if len(known) > self.most:
             known.clear()
         for c in {c for c in chunks if c not in kept}:
             out: tuple[int, ...] = ()
@@ -250,19 +250,20 @@ class StreamDecoder:
         return out
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+_encoders: dict[tuple, Encoder] = {}
+common.TABLES["byte_bpe"] = _encoders.clear
 
 
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, keep: int | None = None) -> Encoder:
     """This process's encoder for a rank file, made once."""
-    if (path, pattern) not in _encoders:
+    if (path, pattern, keep) not in _encoders:
         gc.set_threshold(200_000, 20, 100)  # its tables have no cycles, and looking for some is dear
-        _encoders[path, pattern] = Encoder(load_ranks(path), pattern)
-    return _encoders[path, pattern]
+        _encoders[path, pattern, keep] = Encoder(load_ranks(path), pattern, keep)
+    return _encoders[path, pattern, keep]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: bool = True) -> DataFrame:
-    """docs with __n_tokens, __ids_sha256, __decoded_sha256 and, if asked for, __ids; what is decoded comes from the ids."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: bool = True, keep: int | None = None) -> DataFrame:
+    """keep: chunks that a worker holds at most, where memory is short (CACHE by default). Returns docs with __n_tokens, __ids_sha256, __decoded_sha256 and, if asked for, __ids; what is decoded comes from the ids."""
     common.prepare(docs.sparkSession)
     from pyspark.sql.functions import arrow_udf
 
@@ -270,7 +271,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: bo
 
     @arrow_udf("struct<n: long, ids: array<int>, ids_sha256: string, decoded_sha256: string>")
     def tokens(texts: pa.Array) -> pa.Array:
-        own, out = encoder(path, pattern), []
+        common.owner("byte_bpe")
+        own, out = encoder(path, pattern, keep), []
         for value in texts:
             found = own.encode(value.as_py() or "")
             digest, decoder = hashlib.sha256(), StreamDecoder(own.bytes_of)
@@ -292,6 +294,7 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFr
 
     @arrow_udf("string")
     def texts(lists: pa.Array) -> pa.Array:
+        common.owner("byte_bpe")
         own = encoder(path, pattern)
 
         def parts(found: list[int]) -> Iterator[str]:

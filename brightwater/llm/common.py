@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -16,6 +18,8 @@ from pyspark.sql import functions as F
 #: Rows of an Arrow batch sent to Python; work inside a batch goes by SLICE_BYTES, so long texts don't pile up.
 BATCH_ROWS = 1000
 SLICE_BYTES = 4 << 20
+#: Bytes whose words are hashed at once.
+PIECE = 1 << 19
 #: Used only where the session names no shared folder (tests, local runs).
 LOCAL_DIR = "/tmp/brightwater-scratch"
 #: At most this many keys count as hot, so the table of hot keys has a fixed size bound.
@@ -110,6 +114,31 @@ def utf8(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
+def release() -> None:
+    """Gives freed memory back: a worker stays for later stages, and what it keeps counts there too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library than glibc
+        pass
+
+
+#: What empties the tables that an operator keeps in a worker, by the operator's name.
+TABLES: dict[str, Callable[[], None]] = {}
+_owner = [""]
+
+
+def owner(name: str) -> None:
+    """Says which operator works in this worker now; those of others give up their tables, as workers outlive stages."""
+    if _owner[0] != name:
+        _owner[0] = name
+        for other, empty in TABLES.items():
+            if other != name:
+                empty()
+        gc.collect()
+        release()
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``most`` bytes of the column; a longer text is a slice of its own."""
     for batch in batches:
@@ -119,6 +148,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             last = max(first + 1, int(np.searchsorted(at, at[first] + most, "right")) - 1)
             yield batch.slice(first, last - first)
             first = last
+    release()
 
 
 def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -135,6 +165,8 @@ def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_B
             size += n
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        held = []
+    release()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -151,20 +183,19 @@ _RANDOM = np.random.default_rng(20240229)
 BYTE_CODE = _RANDOM.integers(1, 2**64, 256, np.uint64)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(int(BASE), -1, 2**64))
-_powers: dict[tuple[int, int], np.ndarray] = {}
+_powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0, 1, ... modulo 2**64, n of them at least."""
-    key = (int(base), max(1 << 16, 1 << (n - 1).bit_length()))
-    if key not in _powers:
-        out = np.full(key[1], base, np.uint64)
-        out[0] = 1
-        np.multiply.accumulate(out, out=out)
-        if key[1] > 16 << 20:
-            return out
-        _powers[key] = out
-    return _powers[key]
+    found = _powers.get(int(base))
+    if found is None or len(found) < n:
+        found = np.full(max(1 << 16, 1 << (n - 1).bit_length()), base, np.uint64)
+        found[0] = 1
+        np.multiply.accumulate(found, out=found)
+        if len(found) <= 2 * PIECE:
+            _powers[int(base)] = found
+    return found
 
 
 def lowered() -> np.ndarray:
@@ -195,8 +226,15 @@ def words_of(body: np.ndarray, at: np.ndarray, is_word: np.ndarray, code: np.nda
     end[edges[edges > 0] - 1] = True
     end &= word
     first, last = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(code[body] * powers(BASE, n)[:n], out=total[1:])
-    hashes = mix((total[last] - total[first]) * powers(UNBASE, n)[first] + (last - first).astype(np.uint64))
+    hashes = np.empty(len(first), np.uint64)
+    i = 0
+    while i < len(first):  # by pieces, so that what is computed for each byte stays small
+        j = max(i + 1, int(np.searchsorted(last, first[i] + PIECE, "right")))
+        a, b = first[i:j] - first[i], last[i:j] - first[i]
+        size = int(b[-1])
+        total = np.zeros(size + 1, np.uint64)
+        np.cumsum(code[body[first[i] : last[j - 1]]] * powers(BASE, size)[:size], out=total[1:])
+        hashes[i:j] = mix((total[b] - total[a]) * powers(UNBASE, size)[a] + (b - a).astype(np.uint64))
+        i = j
     return first, last, hashes, np.searchsorted(first, at)
 

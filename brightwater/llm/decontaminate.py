@@ -28,7 +28,7 @@ from brightwater.llm import common
 from brightwater.llm.fm_index import FmIndex
 
 WINDOW = 10
-SHARD_BYTES, BLOCK_BYTES = 8 << 20, 32 << 20
+SHARD_BYTES, BLOCK_BYTES = 4 << 20, 32 << 20
 _LOWER = common.lowered()
 _CODE = common.BYTE_CODE[_LOWER]
 _WORD = np.zeros(256, bool)
@@ -116,6 +116,7 @@ def benchmark_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "t
 
 
 _phrases: dict[tuple[str, int], Phrases] = {}
+common.TABLES["decontaminate"] = _phrases.clear
 
 
 def _load(file: str, window: int) -> Phrases:
@@ -139,6 +140,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window:
     number = docs.columns.index(text)
 
     def find(batches):
+        common.owner("decontaminate")
         # Columns go by place: their names may be anything, even twice the same.
         numbered = (pa.RecordBatch.from_arrays(b.columns, [f"c{i}" for i in range(b.num_columns)]) for b in batches)
         for shard in common.gathered(numbered, f"c{number}", SHARD_BYTES):

@@ -88,6 +88,7 @@ def train(docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str =
     sample = labelled.join(F.broadcast(ids), key, "left_semi").select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"))
 
     def count(batches):
+        common.owner("language")
         found: dict[str, np.ndarray] = {}
         for part in common.sliced(batches, "text"):
             grams, _ = trigrams(part.column("text"))
@@ -113,6 +114,7 @@ def _evidence(model: TextModel):
 
     @arrow_udf("array<double>")
     def evidence(texts: pa.Array) -> pa.Array:
+        common.owner("language")
         found = []
         _, at = common.utf8(texts)
         first = 0

@@ -96,6 +96,7 @@ def signatures(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
     """(id, n, s1, s2, bands): the set's size, 128 bits that stand for it, and the band keys; written."""
 
     def sign(batches):
+        common.owner("near_dedup")
         signer = Signer(percent)
         for part in common.sliced(batches, "text"):
             sets = shingles(part.column("text"))
@@ -116,6 +117,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFra
     """(id, n, shingles) of the documents whose id is among the nodes; written."""
 
     def make(batches):
+        common.owner("near_dedup")
         for part in common.sliced(batches, "text"):
             sets = shingles(part.column("text"))
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]), pa.int32())
@@ -132,6 +134,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
 
     def compare(batches):
+        common.owner("near_dedup")
         for batch in batches:
             a, b = batch.column("a"), batch.column("b")
             x, y = batch.column("x"), batch.column("y")

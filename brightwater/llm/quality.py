@@ -197,6 +197,7 @@ def score(docs: DataFrame, model: AdditiveModel, text: str = "text") -> DataFram
 
     @arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
+        common.owner("quality")
         out, first, (_, at) = [np.empty(0)], 0, common.utf8(texts)
         while first < len(texts):
             last = max(first + 1, int(np.searchsorted(at, at[first] + common.SLICE_BYTES, "right")) - 1)

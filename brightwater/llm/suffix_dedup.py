@@ -92,6 +92,7 @@ def contents(docs: DataFrame, key: str, text: str, length: int, gram: int) -> Da
     """(id, c1, c2, n_bytes, sha256, hashes, places) of each row: c1 and c2 stand for the text; places hold an anchor's place, and its least and greatest offset in a window; written."""
 
     def find(batches):
+        common.owner("suffix_dedup")
         for part in common.sliced(batches, "text"):
             texts = part.column("text")
             body, at = common.utf8(texts)
@@ -244,6 +245,8 @@ def _content(text: Column) -> dict[str, Column]:
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, spans[, kept]) of each row; spans are maximal runs [start, end) of removed bytes."""
+    if not 0 <= length - gram < 1023:
+        raise ValueError("length has to be gram or more, by 1022 at most: offsets in a window are held in ten bits")
     spark = common.prepare(docs.sparkSession)
     base = contents(docs, key, text, length, gram)
     classes = base.groupBy("c1", "c2").agg(F.count("*").alias("size"), F.min("id").alias("id"), F.first("n_bytes").alias("n_bytes"), F.first("sha256").alias("sha256"), F.first("hashes").alias("hashes"), F.first("places").alias("places"))

@@ -132,6 +132,7 @@ class WordEncoder:
 
 
 _encoders: dict[str, WordEncoder] = {}
+common.TABLES["token_store"] = _encoders.clear
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -274,6 +275,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID, key: str = "doc_i
     common.prepare(docs.sparkSession)
 
     def rows(batches):
+        common.owner("token_store")
         own = word_encoder(path)
         end = np.array([end_id], own.width).tobytes()
         for part in common.sliced(batches, "text", 1 << 19):

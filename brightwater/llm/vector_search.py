@@ -10,7 +10,7 @@ Queries and vectors meet as blocks of rows, so neither side has to fit one machi
 Defined cases: vectors that are null, or hold null or non-finite components, take no part, and neither do rows with a
 null id; empty vectors and those of another length than the query's aren't its candidates; rows with the query's own
 id are the query's own; ties go to the smaller id, repeated rows are candidates of their own; with fewer than k
-candidates all are returned; an empty table gives an empty result.
+candidates all are returned; an empty table gives an empty result. Components times 1024 and scores have to fit 64 bits.
 """
 
 from __future__ import annotations

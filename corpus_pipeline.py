@@ -22,6 +22,10 @@ from pyspark.sql import functions as F
 from brightwater.llm import byte_bpe, common, decontaminate, language, line_dedup, near_dedup
 
 
+#: Chunks that a worker keeps while encoding: executors have grown by then, so less than the operator's default.
+KEEP = 50_000
+
+
 def _retext(docs: DataFrame, text) -> DataFrame:
     """docs with a new text, and n_chars after it."""
     new = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
@@ -53,7 +57,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.prepare(spark)
-    out = byte_bpe.encode(docs.select("doc_id", "text"), *byte_bpe.vocabulary())
+    out = byte_bpe.encode(docs.select("doc_id", "text"), *byte_bpe.vocabulary(), keep=KEEP)
     return out.select("doc_id", F.col("__n_tokens").alias("n_tokens"), F.col("__ids").alias("ids"))
 
 
