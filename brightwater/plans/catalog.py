@@ -277,7 +277,12 @@ def ingest_windows(spark, d):
 
 
 def _landed(spark, d, kind: str):
-    return landing.round_trip(spark, driver.bars(spark, d).where("Symbol < 'Brand#13'"), kind)
+    return landing.round_trip(spark, driver.bars(spark, d), kind)
+
+
+def _first_symbols(rows):
+    """What the SQL of three queries asks for; all bars are landed and read for it."""
+    return rows.where("Symbol < 'Brand#13'")
 
 
 _LANDED_SQL = f"""WITH {driver.BARS_SQL} SELECT CAST("Date" AS VARCHAR) AS "Date", "Symbol", CAST("Volume" AS VARCHAR) AS "Volume" FROM bars WHERE "Symbol" < 'Brand#13'"""
@@ -285,15 +290,34 @@ _LANDED_SQL = f"""WITH {driver.BARS_SQL} SELECT CAST("Date" AS VARCHAR) AS "Date
 
 @query("scan_csv_by_name", _LANDED_SQL)
 def scan_csv_by_name(spark, d):
-    return _landed(spark, d, "csv").select("Date", "Symbol", "Volume")
+    return _first_symbols(_landed(spark, d, "csv")).select("Date", "Symbol", "Volume")
 
 
 @query("scan_json_array", _LANDED_SQL)
 def scan_json_array(spark, d):
-    return _landed(spark, d, "json").select("Date", "Symbol", "Volume")
+    return _first_symbols(_landed(spark, d, "json")).select("Date", "Symbol", "Volume")
 
 
 @query("rescued_data", f"""WITH {driver.BARS_SQL} SELECT "Symbol", CAST("Date" AS VARCHAR) AS "Date",
   CASE WHEN "Volume" % 2 = 1 THEN '{{"Dividend":"' || CAST("Volume" AS VARCHAR) || '"}}' END AS rescued FROM bars WHERE "Symbol" < 'Brand#13'""")
 def rescued_data(spark, d):
-    return _landed(spark, d, "csv").select("Symbol", "Date", F.col("_rescued_data").alias("rescued"))
+    return _first_symbols(_landed(spark, d, "csv")).select("Symbol", "Date", F.col("_rescued_data").alias("rescued"))
+
+
+_CONTRACT = {"Date": "date", "Symbol": "string", "Open": "double", "High": "double", "Low": "double", "Close": "double", "Volume": "bigint", "OpenInt": "string"}
+
+
+def _contract(rows, *more):
+    """The contract's columns as the types that were landed: text of a double comes back as that double."""
+    return rows.select(*(F.col(c).cast(t).alias(c) for c, t in _CONTRACT.items()), *more)
+
+
+@query("landed_csv", f"""WITH {driver.BARS_SQL} SELECT "Date", "Symbol", "Open", "High", "Low", "Close", "Volume", '0' AS "OpenInt",
+  CASE WHEN "Volume" % 2 = 1 THEN '{{"Dividend":"' || CAST("Volume" AS VARCHAR) || '"}}' END AS rescued FROM bars""")
+def landed_csv(spark, d):
+    return _contract(_landed(spark, d, "csv"), F.col("_rescued_data").alias("rescued"))
+
+
+@query("landed_json", f"""WITH {driver.BARS_SQL} SELECT "Date", "Symbol", "Open", "High", "Low", "Close", "Volume", '0' AS "OpenInt" FROM bars""")
+def landed_json(spark, d):
+    return _contract(_landed(spark, d, "json"))

@@ -128,14 +128,14 @@ def files_below(spark: SparkSession, folder: str, pattern: str) -> list[str]:
 
 def round_trip(spark: SparkSession, bars: DataFrame, kind: str) -> DataFrame:
     """Bars landed as files below the shared folder in several layouts, and read back by name: for CSV one with the
-    contract's columns, and one with another order and a further column; for JSON one array for each symbol."""
+    contract's columns, and one with another order and a further column; for JSON one array for each symbol and year.
+    All bars and all columns of the contract are landed in either kind."""
     at = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/brightwater-scratch").rstrip("/") + f"/landing-{uuid.uuid4().hex}"
     fs, path = _fs(spark, at)
     fs.deleteOnExit(path)
     text = bars.withColumns({c: F.col(c).cast("string") for c in ("Date", "Open", "High", "Low", "Close", "Volume")}).withColumn("OpenInt", F.lit("0"))
     if kind == "json":
-        names = ["Date", "Symbol", "Volume"]
-        arrays = text.groupBy("Symbol", F.substring("Date", 1, 4).alias("year")).agg(F.to_json(F.collect_list(F.struct(*names))).alias("value"))
+        arrays = text.groupBy("Symbol", F.substring("Date", 1, 4).alias("year")).agg(F.to_json(F.collect_list(F.struct(*RAW_BARS.names))).alias("value"))
         arrays.select("value", "Symbol", "year").write.partitionBy("Symbol", "year").text(at)
         return read_json(spark, files_below(spark, at, "*.txt"), RAW_BARS)
     odd = F.col("Volume").cast("long") % 2 == 1

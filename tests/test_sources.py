@@ -3,12 +3,14 @@
 import datetime
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from brightwater.functions import bars
 from brightwater.operators.rules import with_reasons
+from brightwater.plans import catalog
 from brightwater.schema import RAW_BARS
-from brightwater.sources import calendar, landing, sample
+from brightwater.sources import calendar, driver, landing, sample
 
 
 def test_request_for_a_window():
@@ -44,6 +46,22 @@ def test_json_keeps_values_as_text(spark, tmp_path):
     assert a["_rescued_data"] == '{"Extra":"007"}' and a["Open"] is None and b["_rescued_data"] is None and b["Date"] is None
 
 
+@pytest.mark.parametrize("kind", ["csv", "json"])
+def test_round_trip_keeps_all_columns(spark, kind):
+    day = datetime.date(2024, 1, 2)
+    bars_ = spark.createDataFrame([(day, "Brand#11", 1.5, 3.25, 1.0, 2.0, 7), (day, "Brand#55", 10.0, 12.5, 9.75, 11.0, 8)], "Date date, Symbol string, Open double, High double, Low double, Close double, Volume long")
+    rows = sorted(map(tuple, landing.round_trip(spark, bars_, kind).select(*RAW_BARS.names).collect()))
+    assert rows == [("2024-01-02", "Brand#11", "1.5", "3.25", "1.0", "2.0", "7", "0"), ("2024-01-02", "Brand#55", "10.0", "12.5", "9.75", "11.0", "8", "0")]
+
+
+@pytest.mark.parametrize("name, kind", [("scan_csv_by_name", "csv"), ("scan_json_array", "json"), ("rescued_data", "csv"), ("landed_csv", "csv"), ("landed_json", "json")])
+def test_queries_land_all_bars(spark, monkeypatch, name, kind):
+    sf, seen, trip = "/root/testdata/sf0.001", [], landing.round_trip
+    monkeypatch.setattr(landing, "round_trip", lambda s, b, k: seen.append((b.count(), k)) or trip(s, b, k))
+    out = catalog.QUERIES[name](spark, sf)
+    assert seen == [(driver.bars(spark, sf).count(), kind)] and (not name.startswith("landed") or out.count() == seen[0][0])
+
+
 def test_files_written_again_are_new(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x")
     found = landing.listing(spark, str(tmp_path), "*.csv")
