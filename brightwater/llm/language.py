@@ -16,6 +16,9 @@ gives an empty result, and other columns pass through.
 
 from __future__ import annotations
 
+import html
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -148,6 +151,21 @@ def _said(languages: list[str], said: Column, chance: float) -> list[Column]:
     return [F.when(F.coalesce(known, F.lit(False)), F.when(said == name, F.lit(float(np.log(chance)))).otherwise(F.lit(float(other)))).otherwise(F.lit(0.0)) for name in languages]
 
 
+#: What a page doesn't show: comments, scripts and styles (to the end if never closed), and tags.
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<[^>]*>", re.I | re.S)
+
+
+def markup_text(page: Column) -> Column:
+    """The text that markup shows, with references to characters resolved; null stays null."""
+    from pyspark.sql.functions import arrow_udf
+
+    @arrow_udf("string")
+    def shown(pages: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else html.unescape(_HIDDEN.sub(" ", x)) for x in pages.to_pylist()], pa.string())
+
+    return shown(page)
+
+
 def markup_language(html: Column) -> Column:
     """The two letters that <html lang="..."> declares, in lower case; null without one."""
     return F.nullif(F.lower(F.regexp_extract(html, r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-z]{2})", 1)), F.lit(""))
@@ -205,3 +223,16 @@ def query(spark, sf_dir: str) -> DataFrame:
     common.prepare(spark)
     out = documents(common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     return out.select("doc_id", F.col("__lang").alias("language"), F.col("__text_lang").alias("text_language"), F.round("__confidence", 6).alias("confidence"), F.col("__accepted").alias("accepted"))
+
+
+def pages(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """identify() for the pages table: text and declaration are from the markup, host and suffix from the address; the text model is that of docs."""
+    shown = rows.withColumn("__shown", markup_text(F.col("html")))
+    return identify(shown, train(docs), "__shown", declared=markup_language(F.col("html")), host=address_host(F.col("url"))).drop("__shown")
+
+
+def pages_query(spark, sf_dir: str) -> DataFrame:
+    """One row for each page: as query(), by all four kinds of evidence."""
+    common.prepare(spark)
+    out = pages(common.table(spark, sf_dir, "pages").select("page_id", "url", "html"), common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return out.select("page_id", F.col("__lang").alias("language"), F.col("__text_lang").alias("text_language"), F.round("__confidence", 6).alias("confidence"), F.col("__accepted").alias("accepted"))

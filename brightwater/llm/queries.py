@@ -14,4 +14,6 @@ QUERIES = {
     "op9_language_id": language.query,
     "op10_quality": quality.query,
 }
+#: The same operators over further tables.
+FURTHER = {"op9_language_of_pages": language.pages_query}
 ORACLE_SQL = {"op5_web_archive": web_archive.ORACLE_SQL, "op6_vector_search": vector_search.ORACLE_SQL, "op8_line_dedup": line_dedup.ORACLE_SQL}

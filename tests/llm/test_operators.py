@@ -328,6 +328,27 @@ def test_pages_have_their_declared_language(spark):
     assert got.where(F.col("__lang") == language.markup_language(F.col("html"))).count() > 0.95 * pages.count()
 
 
+def test_all_evidence_acts_in_the_query_of_pages(spark, tmp_path):
+    """Texts of two letters tell nothing, so suffix, declaration, host or parent domain decide."""
+    import __spark_entry__
+
+    documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    german, english = (documents(spark).where(f"lang = '{x}' AND length(text) > 200").select("text").first()[0] for x in ("de", "en"))
+    rows = [(1, "http://a.b.fr/", "<p>xq"), (2, "http://a.example.com/", "<html lang='es'><p>xq"), (3, "http://new.shop.example.net/", "<p>xq"), (4, "http://x.y.org/", "<p>"), (5, None, None), (6, "http://new.lone.example.org/", "<p>xq")]
+    rows += [(10 + i, "http://old.shop.example.net/", f"<!-- x --><script>var the = 'the of and';</script><p>{german} &uuml;ber</p>") for i in range(14)]
+    rows += [(40 + i, "http://old.club.example.com/", f"<p>{english}</p>") for i in range(18)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r for r in __spark_entry__.queries()["op9_language_of_pages"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows) and (got[1]["language"], got[2]["language"], got[3]["language"], got[10]["language"]) == ("fr", "es", "de", "de")
+    assert got[40]["language"] == "en" and not any(got[i]["accepted"] for i in (4, 5, 6))
+
+
+def test_text_of_markup(spark):
+    rows = ["<!-- a > b --><STYLE>x</style>A&ntilde;o<br>n", "x<script>never closed", "", None]
+    out = spark.createDataFrame([(r,) for r in rows], "html string").select(language.markup_text(F.col("html"))).collect()
+    assert [r[0] and r[0].split() for r in out] == [["Año", "n"], ["x"], "", None]
+
+
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     out = quality.query(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas()
