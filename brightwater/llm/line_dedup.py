@@ -6,6 +6,9 @@ from the host's pages. A line counts once a page, is compared whole and case-sen
 Defined cases: a null host is a host of its own; a null text has no lines and stays null; an empty text is one blank
 line; a page whose lines are all boilerplate keeps an empty text; repeated rows are pages of their own; an empty table
 gives an empty result. Columns of the input pass through unchanged, whatever their names.
+
+With ``copies=False`` equal texts of a host count as one page, in the share and the least pages alike: else a group of
+copies that is a large share of its host has all its lines cut, and nothing of it is left.
 """
 
 from __future__ import annotations
@@ -29,23 +32,24 @@ def _host(host: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("-"))
 
 
-def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """(host, drop, n_pages): for each host with boilerplate the keys of its lines, and the host's pages.
 
     A host has at most (its mean lines a page / max_ratio) such lines, so ``drop`` is bounded by the page size.
     """
     pages = docs.select(_host(host).alias("__host"), F.col(text).alias("__text"))
-    lines = pages.select("__host", F.explode(F.array_distinct(F.split("__text", "\n"))).alias("__line")).where(F.trim(F.regexp_replace("__line", r"[\t\r\f]", " ")) != "")
-    often = lines.groupBy("__host", _key(F.col("__line")).alias("__key")).count().where(F.col("count") >= min_pages)
-    often = common.cut(often.withColumnRenamed("count", "__holds"), "lines")
-    totals = pages.groupBy("__host").agg(F.count("*").alias("__pages"))
-    over = common.join_keyed(often, totals, ["__host"], "__pages").where(F.col("__holds") > max_ratio * F.col("__pages"))
+    lines = pages.select("__host", _key(F.col("__text")).alias("__copy"), F.explode(F.array_distinct(F.split("__text", "\n"))).alias("__line")).where(F.trim(F.regexp_replace("__line", r"[\t\r\f]", " ")) != "")
+    number = lambda c: F.count("*") if copies else F.count_distinct(c)
+    often = lines.groupBy("__host", _key(F.col("__line")).alias("__key")).agg(number(F.col("__copy")).alias("__holds")).where(F.col("__holds") >= min_pages)
+    often = common.cut(often, "lines")
+    totals = pages.groupBy("__host").agg(F.count("*").alias("__pages"), number(_key(F.col("__text"))).alias("__of"))
+    over = common.join_keyed(often, totals, ["__host"], "__pages").where(F.col("__holds") > max_ratio * F.col("__of"))
     return common.cut(over.groupBy("__host").agg(F.array_sort(F.collect_set("__key")).alias("__drop"), F.max("__pages").alias("__pages")), "hosts")
 
 
-def cut_lines(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def cut_lines(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """docs with their boilerplate lines cut from ``text``, and the columns __n_lines and __n_dropped."""
-    drop = boilerplate(docs, text, host, max_ratio, min_pages)
+    drop = boilerplate(docs, text, host, max_ratio, min_pages, copies)
     # The row goes along as one column, so its names can't clash with those used here.
     keyed = docs.select(common.packed(docs), _host(host).alias("__host"), F.split(F.col(text), "\n").alias("__lines"))
     marked = common.join_keyed(keyed, drop, ["__host"], "__pages", "left")

@@ -5,7 +5,8 @@ Each stage takes (spark, docs, sf_dir) and works on all rows of docs; all but th
 
 - language: rows whose language isn't told from text, declaration and host with confidence go (so do texts without any
   trigram). The text model learns from the declared languages of the rows at hand.
-- lines: boilerplate lines of a source are cut; a document stays even if nothing of it is left.
+- lines: boilerplate lines of a source are cut, where copies of a text count once, so that near_duplicates has one to
+  keep; a document stays even if nothing of it is left.
 - near_duplicates: of each group of near copies (five words, similarity 0.8) the row with the smallest id stays; rows
   that share that id and its group all stay.
 - benchmark: the spans that hold benchmark windows are cut from the text; the document stays.
@@ -38,7 +39,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.cut_lines(docs)
+    cut = line_dedup.cut_lines(docs, copies=False)
     return _retext(cut, F.col("text")).select(*docs.columns)
 
 

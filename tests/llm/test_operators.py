@@ -378,6 +378,16 @@ def test_line_dedup_keeps_small_hosts(spark):
     assert got == {**{i: (f"body {i}\n", 4, 2) for i in range(4)}, 9: ("head\nx", 2, 0), 10: (None, 0, 0), 11: ("", 1, 0)}
 
 
+def test_pipeline_keeps_one_of_many_copies(spark):
+    copy = "menu\n" + "\n".join(" ".join(f"w{i}x{k}" for k in range(8)) for i in range(3))
+    rows = [(i, copy, "en", "h", None) for i in range(20)] + [(i, f"menu\nbody of {i} is this", "en", "h", None) for i in range(20, 60)]
+    docs = corpus_pipeline.line_stage(spark, spark.createDataFrame(rows, DOCS), SF)
+    cut = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert cut == {i: t.removeprefix("menu\n") for i, t, *_ in rows}
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.near_stage(spark, docs, SF).collect()}
+    assert left == {i: t for i, t in cut.items() if i == 0 or i >= 20}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_same_rows_as_sql(spark, name):
     assert oracle.differences(queries.QUERIES[name](spark, SF), queries.ORACLE_SQL[name], SF) == ""
