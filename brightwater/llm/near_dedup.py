@@ -8,8 +8,8 @@ Equal sets are one node from the start. Of nodes that share a band only those ca
 enough: a node with u shingles that no other candidate has is at best (n - u) / n similar to anything. In each band the
 node with the fewest such shingles is compared with all others, the links are confirmed on full sets, and components
 formed. Where a band still holds several components, its nodes are compared across components only, and only if they
-share one of their rarest shingles at places that leave room for enough others. No link is lost and no group is
-expanded into all its pairs.
+share one of their rarest shingles at places that leave room for enough others. So no link of two sets that share a
+band is lost, and no group is expanded into all its pairs; links of sets that share none are missed.
 
 Defined cases: null and empty texts and those without words have an empty set, are linked with nothing and kept; rows
 with a null id are linked with nothing and kept; rows with the same id are one node that has the links of each; with
