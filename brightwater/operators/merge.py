@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 #: What makes a version the latest; the content's hash comes last, so the order is total.
 LATEST = ("_ingested_at", "_source_file", "_ingestion_key")
@@ -23,11 +22,6 @@ def latest(df: DataFrame, keys: list[str], order: tuple[str, ...] = LATEST) -> D
     return df.groupBy(*keys).agg(best).select(*(F.col(c) if c in keys else F.col(f"__best.`{c}`") for c in df.columns))
 
 
-def newest_rank(df: DataFrame, keys: list[str], order: tuple[str, ...]) -> Column:
-    """row_number within keys, latest first."""
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.col(c).desc() for c in order)))
-
-
 def same_key(a: str, b: str, keys: list[str]) -> Column:
     """Whether the keys of two aliased frames are equal, null being equal to null."""
     return reduce(Column.__and__, (F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys))
@@ -62,10 +56,15 @@ def upsert_latest(target: DataFrame, source: DataFrame, keys: list[str], order:
     return both.select(*map(pick, names), "_action", before)
 
 
-def replace_slice(target: DataFrame, source: DataFrame, column: str, values: list) -> DataFrame:
-    """The target with its rows of the slices ``values`` replaced by source; other slices stay."""
-    outside = F.col(column).isNull() | ~F.col(column).isin(values) if values else F.lit(True)
-    return target.where(outside).unionByName(source)
+def replace_slice(target: DataFrame, source: DataFrame, keys: list[str], slices: DataFrame) -> DataFrame:
+    """The target after its rows of the slices (the values of the one column of ``slices``) became those of the source.
+
+    Rows of other slices stay, but for those whose key the source has: there the source's row takes their place.
+    """
+    column = slices.columns[0]
+    kept = target.alias("t").join(slices.distinct().alias("s"), same_key("t", "s", [column]), "left_anti")
+    kept = kept.alias("t").join(source.select(*keys).alias("s"), same_key("t", "s", keys), "left_anti")
+    return kept.unionByName(source)
 
 
 def changes(merged: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from brightwater.functions import bars as bar_rules
 from brightwater.functions import series as series_rules
 from brightwater.operators import merge, rules
 from brightwater.plans import bi, gold, silver, views
+from brightwater.schema import GOLD_DETAIL, contract
 from brightwater.sources import calendar, driver, landing
+from brightwater.streaming.vtable import TableSpec, VersionedTable
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -24,7 +26,7 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-_DETAIL = ["Date", "Symbol", "Open", "High", "Low", "Close", "Volume", "intraday_return_pct", "intraday_range", "price_spread_pct", "ma_close_7d", "ma_close_30d", "ma_volume_7d", "prev_close", "day_over_day_return_pct", "cumulative_return_pct"]
+_DETAIL = [n for n in GOLD_DETAIL.names if n != "_gold_created_at"]
 
 
 def _quoted(names) -> str:
@@ -121,8 +123,8 @@ def dedup_latest(spark, d):
 WITH {driver.RAW_BARS_SQL}, r AS (SELECT unnest(string_split(reason, ';')) AS rejection_reason, CAST(ts AS DATE) AS quarantined_date FROM judged WHERE reason <> '')
 SELECT rejection_reason, quarantined_date, count(*) AS rows_rejected FROM r GROUP BY 1, 2""")
 def quarantine_reasons(spark, d):
-    judged = rules.split(bar_rules.typed(driver.raw_bars(spark, d)), bar_rules.RULES, at=F.col("_source_modified_at"))
-    return views.quarantine_reasons(judged.rejected)
+    judged = rules.judge(bar_rules.typed(driver.raw_bars(spark, d)), bar_rules.RULES)
+    return views.quarantine_reasons(rules.split(judged, bar_rules.RULES, at=F.col("_source_modified_at")).rejected)
 
 
 @query("series_code_extract", f"WITH {driver.RAW_SERIES_SQL} SELECT _source_file, series_code FROM raw")
@@ -163,10 +165,22 @@ def _versions(spark, d):
 _VERSIONS_SQL = f"WITH orders AS (SELECT * FROM main.orders QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_custkey, o_totalprice, o_orderstatus) = 1), {_BASE}, {_DELTA}"
 
 
+_ORDERS = contract("k long!; slice long; version double; payload string")
+
+
+def _table(spark, name: str, base, bucket_by: tuple[str, ...], feed: bool = False) -> VersionedTable:
+    """A new table of orders in the shared folder, with base as its first rows."""
+    table = VersionedTable(spark, TableSpec(name, name, _ORDERS, bucket_by, change_feed=feed), landing.scratch(spark, "tables")).ensure()
+    table.insert_new(base, ["k", "slice"])
+    return table
+
+
 @query("merge_insert_new", f"{_VERSIONS_SQL} SELECT * FROM base UNION ALL SELECT * FROM delta WHERE k NOT IN (SELECT k FROM base)")
 def merge_insert_new(spark, d):
     base, delta = _versions(spark, d)
-    return base.unionByName(merge.insert_new(base, delta, ["k"]))
+    table = _table(spark, "orders", base, ("k",))
+    table.insert_new(delta, ["k"])
+    return table.read()
 
 
 _UPSERT_SQL = f"""{_VERSIONS_SQL}, m AS (
@@ -179,14 +193,20 @@ _UPSERT_SQL = f"""{_VERSIONS_SQL}, m AS (
   CASE WHEN is_new THEN 'insert' WHEN is_newer THEN 'update' ELSE 'keep' END AS action FROM m""")
 def merge_upsert_latest(spark, d):
     base, delta = _versions(spark, d)
-    return merge.upsert_latest(base, delta, ["k"], ["version"]).select("k", "slice", "version", "payload", F.col("_action").alias("action"))
+    table = _table(spark, "orders", base, ("k",), feed=True)
+    table.upsert_latest(delta, ["k"], ["version"])
+    action = table.read_feed("changes").select("k", "_change_type").where("_change_type <> 'update_preimage'")
+    action = action.select("k", F.when(F.col("_change_type") == "insert", "insert").otherwise("update").alias("action"))
+    return table.read().join(action, "k", "left").withColumn("action", F.coalesce("action", F.lit("keep")))
 
 
 @query("change_feed", f"""{_UPSERT_SQL} SELECT k, s_version AS version, CASE WHEN is_new THEN 'insert' ELSE 'update_postimage' END AS change_type FROM m WHERE is_new OR is_newer
 UNION ALL SELECT k, b_version, 'update_preimage' FROM m WHERE is_newer""")
 def change_feed(spark, d):
     base, delta = _versions(spark, d)
-    return merge.changes(merge.upsert_latest(base, delta, ["k"], ["version"])).select("k", "version", F.col("_change_type").alias("change_type"))
+    table = _table(spark, "orders", base, ("k",), feed=True)
+    table.upsert_latest(delta, ["k"], ["version"])
+    return table.read_feed("changes").select("k", "version", F.col("_change_type").alias("change_type"))
 
 
 _SLICES = "(1, 2, 4, 5, 7, 8, 10, 11, 13, 14)"
@@ -195,8 +215,10 @@ _SLICES = "(1, 2, 4, 5, 7, 8, 10, 11, 13, 14)"
 @query("merge_replace_slice", f"{_VERSIONS_SQL} SELECT * FROM base WHERE slice NOT IN {_SLICES} UNION ALL SELECT * FROM delta WHERE slice IN {_SLICES}")
 def merge_replace_slice(spark, d):
     base, delta = _versions(spark, d)
-    values = [1, 2, 4, 5, 7, 8, 10, 11, 13, 14]
-    return merge.replace_slice(base, delta.where(F.col("slice").isin(values)), "slice", values)
+    values = spark.createDataFrame([(v,) for v in (1, 2, 4, 5, 7, 8, 10, 11, 13, 14)], "slice long")
+    table = _table(spark, "orders", base, ("slice",))
+    table.replace_slice(delta.join(F.broadcast(values), "slice", "left_semi"), ["k", "slice"], values)
+    return table.read()
 
 
 @query("gold_incremental", f"""
@@ -204,11 +226,14 @@ WITH {driver.DETAIL_SQL} SELECT "Symbol", "Date", "Close", CASE WHEN "Symbol" <
 def gold_incremental(spark, d):
     """Only symbols below Brand#20 changed: their slices are recomputed, the others stay as they were (without the figure)."""
     bars = driver.silver_bars(spark, d)
-    old = bars.select("Symbol", "Date", "Close", F.lit(None).cast("double").alias("cumulative_return_pct"))
+    spec = TableSpec("figures", "figures", contract("Symbol string!; Date date!; Close double; cumulative_return_pct double"), ("Symbol",), cluster_by=("Symbol", "Date"))
+    table = VersionedTable(spark, spec, landing.scratch(spark, "tables")).ensure()
+    table.insert_new(bars.select("Symbol", "Date", "Close", F.lit(None).cast("double").alias("cumulative_return_pct")), gold.KEYS)
     feed = bars.select("Symbol", F.when(F.col("Symbol") < "Brand#20", "update_postimage").otherwise("update_preimage").alias("_change_type"))
     affected = merge.changed(feed, "Symbol")
-    fresh = gold.detail(bars.join(affected, "Symbol", "left_semi")).select("Symbol", "Date", "Close", "cumulative_return_pct")
-    return old.join(affected, "Symbol", "left_anti").unionByName(fresh)
+    fresh = gold.detail(bars.join(affected, "Symbol", "left_semi")).select(*spec.contract.names)
+    table.replace_slice(fresh, gold.KEYS, affected)
+    return table.read()
 
 
 @query("dq_metrics", f"WITH {driver.METRICS_SQL} SELECT *, rows_in - rows_valid - rows_quarantined AS rows_deduplicated, round(rows_quarantined / rows_in, 6) AS quarantine_rate FROM metrics")
@@ -232,7 +257,7 @@ UNION ALL SELECT 'silver', count(*), count(DISTINCT "Symbol"), min("Date"), max(
 UNION ALL SELECT 'gold', count(*), count(DISTINCT "Symbol"), min("Date"), max("Date") FROM silver""")
 def layer_reconciliation(spark, d):
     raw = driver.raw_bars(spark, d)
-    clean = silver.bars_to_silver(raw).valid
+    clean = silver.BARS.valid(silver.BARS.judge(raw))
     return views.layer_reconciliation(raw, clean, gold.summary(gold.detail(clean)))
 
 
@@ -280,30 +305,6 @@ def _landed(spark, d, kind: str):
     return landing.round_trip(spark, driver.bars(spark, d), kind)
 
 
-def _first_symbols(rows):
-    """What the SQL of three queries asks for; all bars are landed and read for it."""
-    return rows.where("Symbol < 'Brand#13'")
-
-
-_LANDED_SQL = f"""WITH {driver.BARS_SQL} SELECT CAST("Date" AS VARCHAR) AS "Date", "Symbol", CAST("Volume" AS VARCHAR) AS "Volume" FROM bars WHERE "Symbol" < 'Brand#13'"""
-
-
-@query("scan_csv_by_name", _LANDED_SQL)
-def scan_csv_by_name(spark, d):
-    return _first_symbols(_landed(spark, d, "csv")).select("Date", "Symbol", "Volume")
-
-
-@query("scan_json_array", _LANDED_SQL)
-def scan_json_array(spark, d):
-    return _first_symbols(_landed(spark, d, "json")).select("Date", "Symbol", "Volume")
-
-
-@query("rescued_data", f"""WITH {driver.BARS_SQL} SELECT "Symbol", CAST("Date" AS VARCHAR) AS "Date",
-  CASE WHEN "Volume" % 2 = 1 THEN '{{"Dividend":"' || CAST("Volume" AS VARCHAR) || '"}}' END AS rescued FROM bars WHERE "Symbol" < 'Brand#13'""")
-def rescued_data(spark, d):
-    return _first_symbols(_landed(spark, d, "csv")).select("Symbol", "Date", F.col("_rescued_data").alias("rescued"))
-
-
 _CONTRACT = {"Date": "date", "Symbol": "string", "Open": "double", "High": "double", "Low": "double", "Close": "double", "Volume": "bigint", "OpenInt": "string"}
 
 
@@ -312,12 +313,18 @@ def _contract(rows, *more):
     return rows.select(*(F.col(c).cast(t).alias(c) for c, t in _CONTRACT.items()), *more)
 
 
-@query("landed_csv", f"""WITH {driver.BARS_SQL} SELECT "Date", "Symbol", "Open", "High", "Low", "Close", "Volume", '0' AS "OpenInt",
+@query("scan_csv_by_name", f"""WITH {driver.BARS_SQL} SELECT "Date", "Symbol", "Open", "High", "Low", "Close", "Volume", '0' AS "OpenInt",
   CASE WHEN "Volume" % 2 = 1 THEN '{{"Dividend":"' || CAST("Volume" AS VARCHAR) || '"}}' END AS rescued FROM bars""")
-def landed_csv(spark, d):
+def scan_csv_by_name(spark, d):
     return _contract(_landed(spark, d, "csv"), F.col("_rescued_data").alias("rescued"))
 
 
-@query("landed_json", f"""WITH {driver.BARS_SQL} SELECT "Date", "Symbol", "Open", "High", "Low", "Close", "Volume", '0' AS "OpenInt" FROM bars""")
-def landed_json(spark, d):
+@query("scan_json_array", f"""WITH {driver.BARS_SQL} SELECT "Date", "Symbol", "Open", "High", "Low", "Close", "Volume", '0' AS "OpenInt" FROM bars""")
+def scan_json_array(spark, d):
     return _contract(_landed(spark, d, "json"))
+
+
+@query("rescued_data", f"""WITH {driver.BARS_SQL} SELECT "Symbol", CAST("Date" AS VARCHAR) AS "Date",
+  CASE WHEN "Volume" % 2 = 1 THEN '{{"Dividend":"' || CAST("Volume" AS VARCHAR) || '"}}' END AS rescued FROM bars""")
+def rescued_data(spark, d):
+    return _landed(spark, d, "csv").select("Symbol", "Date", F.col("_rescued_data").alias("rescued"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brightwater import schema
 from brightwater.operators import windows as w
 
 KEYS = ["Symbol", "Date"]
@@ -21,10 +22,8 @@ def detail(silver: DataFrame) -> DataFrame:
         "day_over_day_return_pct": w.change_pct(close, w.previous("Close")),
         "cumulative_return_pct": w.cumulative_pct("Close"),
     })
-    return figures.withColumn("_gold_created_at", F.current_timestamp()).select(
-        "Date", "Symbol", "Open", "High", "Low", "Close", "Volume", "intraday_return_pct", "intraday_range", "price_spread_pct", "ma_close_7d", "ma_close_30d",
-        "ma_volume_7d", "prev_close", "day_over_day_return_pct", "cumulative_return_pct", "_gold_created_at",
-    )
+    present = [c for c in schema.GOLD_DETAIL.names if c != "_gold_created_at"]
+    return figures.select(*present, F.current_timestamp().alias("_gold_created_at"))
 
 
 def summary(gold_detail: DataFrame) -> DataFrame:

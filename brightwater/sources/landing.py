@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import datetime
+import re
 import uuid
 import zipfile
 from pathlib import PurePosixPath
@@ -26,6 +27,22 @@ def _fs(spark: SparkSession, at: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new folder in the one that all machines share, deleted when the session's JVM ends.
+
+    That is spark.checkpoint.dir; only a local master may do without it.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        shared = "/tmp/brightwater-scratch"
+    at = f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    fs, path = _fs(spark, at)
+    fs.deleteOnExit(path)
+    return at
+
+
 def request(code: int, end: datetime.date) -> tuple[str, str]:
     """The address of a series' window that ends on a day, and where its answer lands."""
     first = end - datetime.timedelta(days=WINDOW_DAYS)
@@ -130,9 +147,7 @@ def round_trip(spark: SparkSession, bars: DataFrame, kind: str) -> DataFrame:
     """Bars landed as files below the shared folder in several layouts, and read back by name: for CSV one with the
     contract's columns, and one with another order and a further column; for JSON one array for each symbol and year.
     All bars and all columns of the contract are landed in either kind."""
-    at = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/brightwater-scratch").rstrip("/") + f"/landing-{uuid.uuid4().hex}"
-    fs, path = _fs(spark, at)
-    fs.deleteOnExit(path)
+    at = scratch(spark, "landing")
     text = bars.withColumns({c: F.col(c).cast("string") for c in ("Date", "Open", "High", "Low", "Close", "Volume")}).withColumn("OpenInt", F.lit("0"))
     if kind == "json":
         arrays = text.groupBy("Symbol", F.substring("Date", 1, 4).alias("year")).agg(F.to_json(F.collect_list(F.struct(*RAW_BARS.names))).alias("value"))

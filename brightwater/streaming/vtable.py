@@ -1,22 +1,23 @@
-"""Versioned tables of plain Parquet: snapshots by manifest, merges that rewrite only touched buckets, a change feed.
+"""Versioned tables of plain Parquet: snapshots by manifest, merges that rewrite only touched buckets, feeds from the log.
 
-A table is a folder. ``_log/<version>.json`` lists the data folders of each bucket; a version comes into being when its
-manifest is created, which fails if another writer was first. Data goes to new folders before, so readers see whole
-versions only, and what a failed commit left is never read. Rows lie in buckets by the hash of a spec's columns, so a
-merge reads and rewrites the buckets that its source touches and no others. A spec without bucket columns only appends.
+A table is a folder. ``_log/<version>.json`` names the data folders of each bucket, and those that the version added or
+that hold its changes. A manifest is written under a hidden name and then renamed to its version, which fails if another
+writer was first; so it is there in full or not at all, and what a failed writer left is never read. Rows lie in buckets
+by the hash of a spec's columns: a merge reads and rewrites the buckets that its source touches and no others. The
+number of buckets is the spec's to begin with and can be changed by a compaction.
 
-The change feed is a folder for each version below ``_changes``, moved into place after the commit; a version whose
-manifest names changes that aren't in place gets them at the next opening (consumers are idempotent).
-All files go through Hadoop's file system, so the folder can lie wherever Spark reads.
+Consumers follow the log: a stream of manifests is what tells them which folders were committed. Compaction adds and
+changes nothing, so it feeds nothing. All files go through Hadoop's file system, so a table can lie wherever Spark reads.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass
-from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,7 @@ from brightwater import schema
 from brightwater.operators import merge
 
 BUCKET = "__bucket"
+MANIFEST = re.compile(r"\d{8}\.json")
 
 
 class CommitConflict(RuntimeError):
@@ -47,6 +49,27 @@ class TableSpec:
         return f"{root.rstrip('/')}/{self.path}"
 
 
+def observed(seen: Observation) -> dict[str, int]:
+    """What was counted while writing; nothing if the optimizer saw that there are no rows and left the counting out."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:  # the observation holds an empty row, for which Spark has no Python form
+        return {}
+
+
+class Staged:
+    """Rows that were written for a while, and their number."""
+
+    def __init__(self, rows: DataFrame, count: int, drop):
+        self.rows, self.count, self._drop = rows, count, drop
+
+    def __enter__(self) -> Staged:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._drop()
+
+
 class VersionedTable:
     """A table of a spec below a root folder."""
 
@@ -72,18 +95,25 @@ class VersionedTable:
             stream.close()
 
     def _commit(self, manifest: dict) -> None:
-        path = self._path(f"{self.at}/_log/{manifest['version']:08d}.json")
+        name = f"{manifest['version']:08d}.json"
+        hidden, path = (self._path(f"{self.at}/_log/{n}") for n in (f".{uuid.uuid4().hex}.tmp", name))
+        stream = self._fs.create(hidden, False)
+        stream.write(json.dumps(manifest).encode())
+        stream.close()
+        kinds = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        keep = self.spark.sparkContext._gateway.new_array(kinds, 1)
+        keep[0] = kinds.NONE  # never over a file that is there
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
         try:
-            stream = self._fs.create(path, False)
+            context.rename(self._fs.makeQualified(hidden), self._fs.makeQualified(path), keep)
         except Exception as e:
+            self._fs.delete(hidden, False)
             raise CommitConflict(f"{self.spec.name}: version {manifest['version']} exists") from e
-        stream.write(json.dumps(manifest).encode())
-        stream.close()
 
     # Versions.
 
     def versions(self) -> list[int]:
-        return [int(n.split(".")[0]) for n in self._names(f"{self.at}/_log") if n.endswith(".json") and n[0] != "."]
+        return [int(n[:8]) for n in self._names(f"{self.at}/_log") if MANIFEST.fullmatch(n)]
 
     def manifest(self, version: int | None = None) -> dict:
         found = self.versions()
@@ -92,146 +122,171 @@ class VersionedTable:
         return self._read(f"{self.at}/_log/{found[-1] if version is None else version:08d}.json")
 
     def ensure(self) -> VersionedTable:
-        """Makes the table if it is missing; raises ContractError if it has another contract; publishes late changes."""
+        """Makes the table if it is missing; raises ContractError if it has another contract."""
         if not self.versions():
-            self._commit({"version": 0, "contract": self.spec.contract.jsonValue(), "data": {}, "changes": None})
-        last = self.manifest()
-        schema.check(T.StructType.fromJson(last["contract"]), self.spec.contract, self.spec.name)
-        self._publish(last)
+            self._commit({"version": 0, "contract": self.spec.contract.jsonValue(), "buckets": self.spec.buckets, "data": {}, "added": [], "changes": []})
+        schema.require(T.StructType.fromJson(self.manifest()["contract"]), self.spec.contract, self.spec.name)
         return self
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current rows, or those of an older version."""
         return self._frame(sum(self.manifest(version)["data"].values(), []))
 
+    def read_matching(self, values: DataFrame) -> DataFrame:
+        """The current rows whose columns have one of the combinations in ``values``; of a table that has its buckets by
+        just these columns only those buckets are read."""
+        now = self.manifest()
+        buckets = self._touched(values, now) if self.spec.bucket_by == tuple(values.columns) else list(now["data"])
+        rows = self._frame(self._paths(now, buckets)).alias("t")
+        return rows.join(values.distinct().alias("v"), merge.same_key("t", "v", values.columns), "left_semi")
+
+    @staticmethod
+    def _paths(manifest: dict, buckets: list[str]) -> list[str]:
+        return [p for b in buckets for p in manifest["data"].get(b, [])]
+
     def _frame(self, paths: list[str]) -> DataFrame:
         # NOT NULL is checked when rows are written; readers take all columns as they are.
         loose = T.StructType([T.StructField(f.name, f.dataType) for f in self.spec.contract.fields])
         return self.spark.read.schema(loose).parquet(*paths) if paths else self.spark.createDataFrame([], loose)
 
-    def _write(self, df: DataFrame) -> dict[str, list[str]]:
-        """Rows as new data folders by bucket; raises ContractError, before anything is committed, if a required value is null."""
+    def _write(self, df: DataFrame, buckets: int) -> tuple[dict[str, list[str]], int]:
+        """Rows as new data folders by bucket, and their number; raises ContractError, before anything is committed, if a required value is null."""
         df = schema.conform(df, self.spec.contract, self.spec.name)
-        required = schema.required_nulls(self.spec.contract)
         seen = Observation()
-        if required:
-            df = df.observe(seen, *required)
+        df = df.observe(seen, F.count("*").alias("__rows"), *schema.required_nulls(self.spec.contract))
         at = f"{self.at}/data/{uuid.uuid4().hex}"
         if self.spec.bucket_by:
-            rows = df.withColumn(BUCKET, self._bucket()).repartition(self.spec.buckets, BUCKET)
+            # A rebalance lets a large bucket be written by several tasks.
+            rows = df.withColumn(BUCKET, self._bucket(buckets)).hint("rebalance", BUCKET)
             if self.spec.cluster_by:
                 rows = rows.sortWithinPartitions(BUCKET, *self.spec.cluster_by)
             rows.write.partitionBy(BUCKET).parquet(at)
         else:
             df.write.parquet(at)
-        if required and (nulls := {k: v for k, v in seen.get.items() if v}):
+        found = observed(seen)
+        n = found.pop("__rows", 0)
+        if nulls := {k: v for k, v in found.items() if v}:
+            self._fs.delete(self._path(at), True)
+            raise schema.ContractError(f"{self.spec.name}: nulls in required columns: {nulls}")
+        if not n:
             self._fs.delete(self._path(at), True)
-            raise schema.ContractError(f"[{self.spec.name}] nulls in required columns: {nulls}")
+            return {}, 0
         if not self.spec.bucket_by:
-            return {"": [at]}
-        return {n.split("=")[1]: [f"{at}/{n}"] for n in self._names(at) if n.startswith(f"{BUCKET}=")}
+            return {"": [at]}, n
+        return {name.split("=")[1]: [f"{at}/{name}"] for name in self._names(at) if name.startswith(f"{BUCKET}=")}, n
+
+    def _bucket(self, buckets: int):
+        return F.pmod(F.hash(*self.spec.bucket_by), F.lit(buckets))
 
-    def _bucket(self):
-        return F.pmod(F.hash(*self.spec.bucket_by), F.lit(self.spec.buckets))
+    def _touched(self, source: DataFrame, manifest: dict) -> list[str]:
+        """Buckets of the source's rows; a table's number of buckets at most."""
+        if not self.spec.bucket_by:
+            return list(manifest["data"])
+        return sorted(str(r[0]) for r in source.select(self._bucket(manifest["buckets"])).distinct().collect())
 
-    def _touched(self, source: DataFrame) -> list[str]:
-        """Buckets of the source's rows; a spec's number of buckets at most."""
-        return sorted(str(r[0]) for r in source.select(self._bucket()).distinct().collect())
+    def _by_key(self, keys: list[str]) -> None:
+        if not set(self.spec.bucket_by) <= set(keys):
+            raise ValueError(f"{self.spec.name} has buckets by {self.spec.bucket_by}, which isn't part of the key {keys}")
 
-    def _next(self, old: dict, data: dict, changes: str | None = None) -> None:
-        new = {"version": old["version"] + 1, "contract": old["contract"], "data": data, "changes": changes}
-        self._commit(new)
-        self._publish(new)
+    def _next(self, old: dict, data: dict, added: dict | None = None, changes: list[str] | None = None, buckets: int | None = None) -> None:
+        feed = {"added": sum((added or {}).values(), []), "changes": changes or []}
+        self._commit({"version": old["version"] + 1, "contract": old["contract"], "buckets": buckets or old["buckets"], "data": data, **feed})
 
-    # Changes.
+    def staged(self, df: DataFrame) -> Staged:
+        """df written below the table for the time of a with block: what several writes need is computed once."""
+        at, seen = f"{self.at}/staging/{uuid.uuid4().hex}", Observation()
+        df.observe(seen, F.count("*").alias("n")).write.parquet(at)
+        return Staged(self.spark.read.schema(df.schema).parquet(at), observed(seen).get("n", 0), lambda: self._fs.delete(self._path(at), True))
 
-    @property
-    def changes_at(self) -> str:
-        return f"{self.at}/_changes"
+    # Feeds.
 
     def change_schema(self) -> T.StructType:
         return T.StructType([*(T.StructField(f.name, f.dataType) for f in self.spec.contract.fields), T.StructField("_change_type", T.StringType())])
 
-    def _publish(self, manifest: dict) -> None:
-        if manifest["changes"]:
-            source, target = self._path(manifest["changes"]), self._path(f"{self.changes_at}/v{manifest['version']:08d}")
-            if self._fs.exists(source) and not self._fs.exists(target):
-                self._fs.mkdirs(self._path(self.changes_at))
-                self._fs.rename(source, target)
-
-    def read_changes(self) -> DataFrame:
-        """The whole change feed as rows."""
-        there = [f"{self.changes_at}/{n}" for n in self._names(self.changes_at)]
-        return self.spark.read.schema(self.change_schema()).parquet(*there) if there else self.spark.createDataFrame([], self.change_schema())
-
-    def stream_changes(self) -> DataFrame:
-        """The change feed as a stream."""
-        self._fs.mkdirs(self._path(self.changes_at))
-        return self.spark.readStream.schema(self.change_schema()).parquet(f"{self.changes_at}/*")
-
-    def stream_appends(self) -> DataFrame:
-        """Data folders of a table that only appends, as a stream."""
-        self._fs.mkdirs(self._path(f"{self.at}/data"))
-        loose = T.StructType([T.StructField(f.name, f.dataType) for f in self.spec.contract.fields])
-        return self.spark.readStream.schema(loose).parquet(f"{self.at}/data/*")
+    def feed(self, kind: str, versions_at_once: int = 1000) -> DataFrame:
+        """The log as a stream of (version, path): the folders that versions have ``added`` (inserted rows) or that hold
+        their ``changes``. ``rows_of`` reads those of a micro-batch."""
+        line = T.StructType([T.StructField("version", T.LongType()), T.StructField(kind, T.ArrayType(T.StringType()))])
+        log = self.spark.readStream.schema(line).option("maxFilesPerTrigger", versions_at_once).option("pathGlobFilter", "*.json").json(f"{self.at}/_log")
+        return log.select("version", F.explode(kind).alias("path"))
+
+    def rows_of(self, feed: DataFrame, kind: str) -> DataFrame:
+        """The rows in a micro-batch of the feed; only names of folders come to the driver, ``versions_at_once`` commits' at most."""
+        return self._rows(kind, [r["path"] for r in feed.select("path").collect()])
+
+    def read_feed(self, kind: str, since: int = -1) -> DataFrame:
+        """The rows of a feed's versions after ``since``."""
+        return self._rows(kind, [p for v in self.versions() if v > since for p in self.manifest(v)[kind]])
+
+    def _rows(self, kind: str, paths: list[str]) -> DataFrame:
+        if kind == "added":
+            return self._frame(paths)
+        return self.spark.read.schema(self.change_schema()).parquet(*paths) if paths else self.spark.createDataFrame([], self.change_schema())
 
     # Writes.
 
-    def insert_new(self, source: DataFrame, keys: list[str]) -> None:
-        """Appends the rows whose key the table lacks; those that are there stay as they are."""
+    def insert_new(self, source: DataFrame, keys: list[str]) -> int:
+        """Appends the rows whose key the table lacks and returns their number; those that are there stay as they are.
+        Nothing new, no version."""
+        self._by_key(keys)
         source = schema.conform(source, self.spec.contract, self.spec.name)
         old = self.manifest()
-        fresh = merge.insert_new(self._frame(sum(old["data"].values(), [])), source, keys)
-        added = self._write(fresh)
-        self._next(old, {b: old["data"].get(b, []) + added.get(b, []) for b in {*old["data"], *added}})
+        # Of the target just the keys in touched buckets are read.
+        fresh = merge.insert_new(self._frame(self._paths(old, self._touched(source, old))), source, keys)
+        added, n = self._write(fresh, old["buckets"])
+        if n:
+            self._next(old, {b: old["data"].get(b, []) + added.get(b, []) for b in {*old["data"], *added}}, added)
+        return n
 
     def upsert_latest(self, source: DataFrame, keys: list[str], order: list[str]) -> None:
         """Inserts new keys and replaces older versions; the source has one row for each key. Nothing new, no version."""
+        self._by_key(keys)
         source = schema.conform(source, self.spec.contract, self.spec.name)
         old = self.manifest()
-        buckets = self._touched(source) if self.spec.bucket_by else [""]
-        touched = self._frame(sum((old["data"].get(b, []) for b in buckets), []))
+        buckets = self._touched(source, old) if self.spec.bucket_by else [""]
         staged = f"{self.at}/staging/{uuid.uuid4().hex}"
         # The target is an input, so the merge is written before anything that follows from it.
-        merge.upsert_latest(touched, source, keys, order).write.parquet(staged)
+        merge.upsert_latest(self._frame(self._paths(old, buckets)), source, keys, order).write.parquet(staged)
         merged = self.spark.read.parquet(staged)
         if merged.where("_action <> 'keep'").limit(1).count():
-            data = self._write(merged.drop("_action", "_before"))
-            changes = None
+            data, _ = self._write(merged.drop("_action", "_before"), old["buckets"])
+            changes = []
             if self.spec.change_feed:
-                changes = f"{self.at}/staging/{uuid.uuid4().hex}"
-                merge.changes(merged).write.parquet(changes)
-            self._next(old, {b: p for b, p in old["data"].items() if b not in buckets} | data, changes)
+                changes = [f"{self.at}/changes/{uuid.uuid4().hex}"]
+                merge.changes(merged).write.parquet(changes[0])
+            self._next(old, {b: p for b, p in old["data"].items() if b not in buckets} | data, changes=changes)
         self._fs.delete(self._path(staged), True)
 
-    def replace_slice(self, source: DataFrame, column: str, values: list) -> None:
-        """Replaces the rows of the slices ``values`` by source; a bucketed table has to be bucketed by the column."""
+    def replace_slice(self, source: DataFrame, keys: list[str], slices: DataFrame) -> None:
+        """Rows of the slices (values of the one column of ``slices``) become those of the source, as one version.
+
+        Source rows of other slices are upserted by their key, so no other row is lost.
+        """
+        self._by_key(keys)
         source = schema.conform(source, self.spec.contract, self.spec.name)
         old = self.manifest()
-        if self.spec.bucket_by:
-            if self.spec.bucket_by != (column,):
-                raise ValueError(f"{self.spec.name} isn't bucketed by {column}")
-            named = self.spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(column, self.spec.contract[column].dataType)]))
-            buckets = self._touched(named)
-        else:
-            buckets = [""]
-        touched = self._frame(sum((old["data"].get(b, []) for b in buckets), []))
-        data = self._write(merge.replace_slice(touched, source, column, values))
+        if self.spec.bucket_by == tuple(slices.columns):
+            buckets = sorted({*self._touched(slices, old), *self._touched(source, old)})
+        else:  # a slice's rows may lie in any bucket
+            buckets = list(old["data"])
+        data, _ = self._write(merge.replace_slice(self._frame(self._paths(old, buckets)), source, keys, slices), old["buckets"])
         self._next(old, {b: p for b, p in old["data"].items() if b not in buckets} | data)
 
-    def compact(self) -> None:
-        """The same rows in fewer files, ordered by the spec's clustering; no changes are published."""
+    def compact(self, buckets: int | None = None) -> None:
+        """The same rows in fewer files, in the spec's clustering and, if asked for, another number of buckets; feeds get nothing."""
         old = self.manifest()
         rows = self._frame(sum(old["data"].values(), []))
         if not self.spec.bucket_by and self.spec.cluster_by:
             rows = rows.repartitionByRange(*self.spec.cluster_by).sortWithinPartitions(*self.spec.cluster_by)
-        self._next(old, self._write(rows))
+        self._next(old, self._write(rows, buckets or old["buckets"])[0], buckets=buckets)
 
     def vacuum(self, keep: int = 10) -> int:
-        """Deletes data folders that the last ``keep`` versions don't name; returns their number."""
+        """Deletes data folders that none of the last ``keep`` versions names, as data or for its feeds; returns their number.
+        A consumer that is further behind than that has to start anew."""
         manifests = [self.manifest(v) for v in self.versions()[-keep:]]
-        named = reduce(set.union, ({p.split("/data/")[1].split("/")[0] for p in sum(m["data"].values(), [])} for m in manifests), set())
-        gone = [n for n in self._names(f"{self.at}/data") if n not in named]
-        for n in gone:
-            self._fs.delete(self._path(f"{self.at}/data/{n}"), True)
+        paths = {p for m in manifests for p in [*sum(m["data"].values(), []), *m["added"], *m["changes"]]}
+        named = {p.removeprefix(self.at).split("/")[2] for p in paths}
+        gone = [f"{self.at}/{kind}/{n}" for kind in ("data", "changes", "staging") for n in self._names(f"{self.at}/{kind}") if n not in named]
+        for at in gone:
+            self._fs.delete(self._path(at), True)
         return len(gone)

@@ -19,7 +19,8 @@ def duck(sf_dir):
     c = duckdb.connect()
     for t in TABLES:
         p = Path(sf_dir, f"{t}.parquet")
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}{'/*.parquet' if p.is_dir() else ''}')")
+        if p.exists():
+            c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}{'/*.parquet' if p.is_dir() else ''}')")
     return c
 
 

@@ -54,12 +54,12 @@ def test_round_trip_keeps_all_columns(spark, kind):
     assert rows == [("2024-01-02", "Brand#11", "1.5", "3.25", "1.0", "2.0", "7", "0"), ("2024-01-02", "Brand#55", "10.0", "12.5", "9.75", "11.0", "8", "0")]
 
 
-@pytest.mark.parametrize("name, kind", [("scan_csv_by_name", "csv"), ("scan_json_array", "json"), ("rescued_data", "csv"), ("landed_csv", "csv"), ("landed_json", "json")])
+@pytest.mark.parametrize("name, kind", [("scan_csv_by_name", "csv"), ("scan_json_array", "json"), ("rescued_data", "csv")])
 def test_queries_land_all_bars(spark, monkeypatch, name, kind):
     sf, seen, trip = "/root/testdata/sf0.001", [], landing.round_trip
     monkeypatch.setattr(landing, "round_trip", lambda s, b, k: seen.append((b.count(), k)) or trip(s, b, k))
     out = catalog.QUERIES[name](spark, sf)
-    assert seen == [(driver.bars(spark, sf).count(), kind)] and (not name.startswith("landed") or out.count() == seen[0][0])
+    assert seen == [(driver.bars(spark, sf).count(), kind)] and out.count() == seen[0][0]
 
 
 def test_files_written_again_are_new(spark, tmp_path):
