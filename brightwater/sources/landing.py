@@ -6,7 +6,7 @@ import csv
 import datetime
 import re
 import uuid
-import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,8 @@ from brightwater.schema import RAW_BARS
 SERIES_ADDRESS = "/dados/serie/bcdata.sgs.{code}/dados?formato=json&dataInicial={first}&dataFinal={last}"
 SERIES_CODES = (1, 11, 12, 432)
 WINDOW_DAYS = 7
+#: Files whose headers are read at the same time.
+THREADS = 16
 
 
 def _fs(spark: SparkSession, at: str):
@@ -59,17 +61,22 @@ def fetch_windows(spark: SparkSession, first_end: str, last_end: str, codes: tup
     return rows.select("series_code", day(F.col("end") - F.expr(f"INTERVAL {WINDOW_DAYS} DAYS")).alias("date_from"), day(F.col("end")).alias("date_to"), file.alias("file"))
 
 
-def unzip(archive: str, to: str) -> list[str]:
-    """The CSV members of a ZIP file, by their bare names, below a local folder; overwrites."""
-    out = []
-    with zipfile.ZipFile(archive) as z:
-        for member in z.infolist():
-            name = PurePosixPath(member.filename).name
-            if name.lower().endswith(".csv"):
-                with z.open(member) as source, open(f"{to}/{name}", "wb") as sink:
-                    while chunk := source.read(1 << 20):
-                        sink.write(chunk)
-                out.append(f"{to}/{name}")
+def unzip(spark: SparkSession, archive: str, to: str, suffix: str = ".csv") -> list[str]:
+    """The CSV members of a ZIP file, by their bare names, below a folder; overwrites. Both may lie in any store; bytes go
+    from stream to stream in the driver's JVM, one member at a time."""
+    jvm, (fs, source), out = spark.sparkContext._jvm, _fs(spark, archive), []
+    members = jvm.java.util.zip.ZipInputStream(fs.open(source))
+    try:
+        while (entry := members.getNextEntry()) is not None:
+            name = PurePosixPath(entry.getName()).name
+            if name.lower().endswith(suffix):
+                target, path = _fs(spark, f"{to.rstrip('/')}/{name}")
+                sink = target.create(path, True)
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(members, sink, 1 << 16, False)
+                sink.close()
+                out.append(path.toString())
+    finally:
+        members.close()
     return out
 
 
@@ -107,16 +114,36 @@ def _lineage(df: DataFrame) -> DataFrame:
     return df.withColumns({"_source_file": F.col("_metadata.file_path"), "_source_modified_at": F.col("_metadata.file_modification_time")})
 
 
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files of each header. Just the beginning of each file is read, by several threads of the driver; callers
+    give so many files at once as the driver may hold names of."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(at: str) -> str:
+        fs, path = _fs(spark, at)
+        stream, codec = fs.open(path), codecs.getCodec(path)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+            return (reader.readLine() or "").lstrip("\ufeff")
+        finally:
+            stream.close()
+
+    found: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(THREADS) as pool:
+        for path, line in zip(paths, pool.map(first_line, paths), strict=True):
+            if line:  # an empty file has no rows
+                found.setdefault(line, []).append(path)
+    return found
+
+
 def read_csv(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """CSV files with headers, by column name: files with the same header are read together, all as text; a missing
     column is null, and what the schema lacks goes to _rescued_data."""
-    lines = spark.read.text(paths, wholetext=False).select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("start"))
-    # The first line of each file: that of its first block.
-    firsts = lines.where("start = 0").select("path", "value", F.monotonically_increasing_id().alias("n")).groupBy("path").agg(F.min_by("value", "n").alias("header"))
-    groups = firsts.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    groups = headers(spark, paths).items()
     out = None
     for header, own in groups:
-        names = next(csv.reader([header.lstrip("\ufeff")]))
+        names = next(csv.reader([header]))
         unique = [n if names.index(n) == i else f"{n}_{i}" for i, n in enumerate(names)]
         flat = T.StructType([T.StructField(n, T.StringType()) for n in unique])
         rows = _lineage(spark.read.schema(flat).option("header", "true").option("enforceSchema", "true").csv(own))

@@ -24,7 +24,8 @@ def test_zip_and_copy(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("x/one.csv", "a\n1\n")
         z.writestr("x/readme.txt", "no")
-    assert landing.unzip(str(tmp_path / "a.zip"), str(tmp_path / "zip")) == [f"{tmp_path}/zip/one.csv"]
+    assert landing.unzip(spark, f"file://{tmp_path}/a.zip", str(tmp_path / "zip")) == [f"{tmp_path}/zip/one.csv"]
+    assert (tmp_path / "zip/one.csv").read_text() == "a\n1\n" and not (tmp_path / "zip/readme.txt").exists()
     (tmp_path / "from/deep/two.csv").write_text("b\n2\n")
     for _ in range(2):
         assert len(landing.land_files(spark, str(tmp_path / "from"), str(tmp_path / "to"))) == 1
@@ -40,6 +41,18 @@ def test_csv_by_name_with_odd_headers(spark, tmp_path):
     assert landing.read_csv(spark, [str(tmp_path / "b.csv")], RAW_BARS).count() == 1
 
 
+def test_csv_headers_come_from_files_beginnings(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv").write_text("\ufeffDate,Symbol\n2024-01-02,A\n")
+    (tmp_path / "b.csv.gz").write_bytes(gzip.compress(b"Date,Symbol\r\n2024-01-03,B\r\n"))
+    (tmp_path / "c.csv").write_text("")
+    paths = [f"{tmp_path}/{n}" for n in ("a.csv", "b.csv.gz", "c.csv")]
+    assert landing.headers(spark, paths) == {"Date,Symbol": paths[:2]}
+    assert {(r["Date"], r["Symbol"]) for r in landing.read_csv(spark, paths, RAW_BARS).collect()} == {("2024-01-02", "A"), ("2024-01-03", "B")}
+    assert landing.read_csv(spark, paths[2:], RAW_BARS).count() == 0
+
+
 def test_json_keeps_values_as_text(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"Date": "2024-01-02", "Symbol": "A", "Close": 1.50, "Extra": "007"}, {"Date": null, "Symbol": "B"}]')
     a, b = landing.read_json(spark, [str(tmp_path / "a.json")], RAW_BARS).orderBy("Symbol").collect()
