@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import io
+import re
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
@@ -15,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch sent to Python; work inside a batch goes by SLICE_BYTES, so long texts don't pile up.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch sent to Python (a longer row is a batch of its own); work inside goes by SLICE_BYTES.
+BATCH_ROWS, BATCH_BYTES = 4000, 4 << 20
 SLICE_BYTES = 4 << 20
 #: Bytes whose words are hashed at once.
 PIECE = 1 << 19
@@ -24,11 +25,17 @@ PIECE = 1 << 19
 LOCAL_DIR = "/tmp/brightwater-scratch"
 #: At most this many keys count as hot, so the table of hot keys has a fixed size bound.
 MAX_HOT = 500
+#: Bytes of a hot key's row that may be broadcast.
+HOT_BYTES = 1 << 16
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bounded Arrow batches for the Python stages, and this package's code for the machines that run them."""
+    """Bounded Arrow batches for the Python stages, and this package's code for the machines that run them.
+
+    Spark reads the batches' bounds when a plan is run, which is after the operator returned it, so they stay set.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_brightwater", None) is None:
         context._brightwater = _ship(spark)
@@ -57,9 +64,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir, or LOCAL_DIR where that is unset."""
+    """The folder that all machines share: spark.checkpoint.dir; only a local master may do without it, and gets LOCAL_DIR."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         at = LOCAL_DIR
         spark.conf.set("spark.checkpoint.dir", at) if spark.conf.isModifiable("spark.checkpoint.dir") else None
     return at.rstrip("/")
@@ -81,19 +90,30 @@ def cut(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def join_keyed(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
+def join_keyed(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, how: str = "inner", weight: Column | None = None) -> DataFrame:
     """rows joined with per_key, which has one row for each key and the key's number of rows in column count.
 
     Keys that hold over 1/MAX_HOT of all rows (so MAX_HOT keys at most) are joined by broadcast where their rows
-    lie; only the other keys are shuffled. Both inputs should be cheap to read twice.
+    lie; only the other keys are shuffled. Where rows of per_key hold lists, ``weight`` is their size in bytes: those over
+    HOT_BYTES are shuffled in any case, so what is broadcast has MAX_HOT * HOT_BYTES at most. Both inputs should be cheap
+    to read twice.
     """
     least = max(1000, rows.count() // MAX_HOT)
-    hot, rest = per_key.where(F.col(count) > least), per_key.where(F.col(count) <= least)
+    is_light = F.lit(True) if weight is None else F.coalesce(weight <= HOT_BYTES, F.lit(True))
+    chosen = F.coalesce((F.col(count) > least) & is_light, F.lit(False))
+    hot, rest = per_key.where(chosen), per_key.where(~chosen)
     is_hot = F.broadcast(hot.select(*keys))
     cold = rows.join(is_hot, keys, "left_anti").join(rest, keys, how)
     return rows.join(F.broadcast(hot), keys).unionByName(cold)
 
 
+def refuse(df: DataFrame, *names: str) -> None:
+    """ValueError if df has columns named like those that an operator adds."""
+    lowered_ = {c.lower() for c in df.columns}
+    if found := [n for n in names if n.lower() in lowered_]:
+        raise ValueError(f"columns that this operator adds are there already: {found}")
+
+
 def packed(df: DataFrame) -> Column:
     """All columns of df as the struct __row."""
     return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("__row")
@@ -139,15 +159,30 @@ def owner(name: str) -> None:
         release()
 
 
+def packed_bytes(array: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """The data of a large binary array without nulls that begins at its buffers' beginning, and its offsets."""
+    _, offsets, data = array.buffers()
+    at = np.frombuffer(offsets, np.int64)[: len(array) + 1] if len(array) else np.zeros(1, np.int64)
+    return memoryview(data if data is not None else b"")[: int(at[-1])], at
+
+
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """The array in slices of about ``most`` bytes; a longer text is a slice of its own."""
+    _, at = utf8(texts)
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(at, at[first] + most, "right")) - 1)
+        yield texts.slice(first, last - first)
+        first = last
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``most`` bytes of the column; a longer text is a slice of its own."""
     for batch in batches:
-        _, at = utf8(batch.column(column))
         first = 0
-        while first < batch.num_rows:
-            last = max(first + 1, int(np.searchsorted(at, at[first] + most, "right")) - 1)
-            yield batch.slice(first, last - first)
-            first = last
+        for part in slices(batch.column(column), most):
+            yield batch.slice(first, len(part))
+            first += len(part)
     release()
 
 
