@@ -1,11 +1,11 @@
 """Line dedup by site-relative frequency, in DataFrame functions only.
 
-A line is boilerplate of a host when the share of the host's pages that hold it is over a ratio; such lines are cut
-from the host's pages. A line counts once a page, is compared whole and case-sensitively, and blank lines never count.
+A line is boilerplate of a host when the share of the host's pages that hold it is over a ratio, and MIN_PAGES pages do
+at least: on a host of a few pages any line of one page would be over the ratio. Such lines are cut from the pages. A line counts once a page, is compared whole and case-sensitively, and blank lines never count.
 
 Defined cases: a null host is a host of its own; a null text has no lines and stays null; an empty text is one blank
 line; a page whose lines are all boilerplate keeps an empty text; repeated rows are pages of their own; an empty table
-gives an empty result. Columns of the input pass through unchanged, whatever their names.
+gives an empty result. Columns of the input pass through unchanged, whatever their names, but for the two new ones'.
 
 With ``copies=False`` equal texts of a host count as one page, in the share and the least pages alike: else a group of
 copies that is a large share of its host has all its lines cut, and nothing of it is left.
@@ -49,10 +49,11 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", max_r
 
 def cut_lines(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """docs with their boilerplate lines cut from ``text``, and the columns __n_lines and __n_dropped."""
+    common.refuse(docs, "__n_lines", "__n_dropped")
     drop = boilerplate(docs, text, host, max_ratio, min_pages, copies)
     # The row goes along as one column, so its names can't clash with those used here.
     keyed = docs.select(common.packed(docs), _host(host).alias("__host"), F.split(F.col(text), "\n").alias("__lines"))
-    marked = common.join_keyed(keyed, drop, ["__host"], "__pages", "left")
+    marked = common.join_keyed(keyed, drop, ["__host"], "__pages", "left", weight=F.size("__drop") * 16)
     kept = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(F.filter("__lines", lambda x: ~F.array_contains(F.col("__drop"), _key(x))))
     marked = marked.withColumn("__kept", kept)
     size = lambda c: F.coalesce(F.when(F.col(c).isNotNull(), F.size(c)), F.lit(0)).cast("long")

@@ -7,7 +7,9 @@ the looked-up values, for all rows at once, through the logistic function.
 
 Defined cases: null and empty texts have all-zero features and get a score as others do; labels that are null or not 0
 or 1 and labelled rows without a document teach nothing; with no usable label every score is 0.5; repeated rows are
-scored alike; an empty table gives an empty result. The label, lang, source and id of a row are never inputs.
+scored alike; an empty table gives an empty result. The label, lang, source and id of a row are never inputs; a document
+whose id is there several times teaches once, with its least features, so the sample stays bounded.
+Other columns pass through, whatever their names; only one named __score is refused with a ValueError.
 """
 
 from __future__ import annotations
@@ -174,16 +176,19 @@ def held_out(key: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", rows: int = TRAIN_ROWS) -> AdditiveModel:
     """The model of at most ``rows`` labelled rows that aren't held out."""
     common.prepare(docs.sparkSession)
-    known = labels.where(F.col(label).isin(0, 1) & ~held_out(key) & F.col(key).isNotNull()).select(F.col(key), F.col(label).cast("double").alias("__y"), F.xxhash64(key).alias("__h"))
-    sample = known.orderBy("__h", "__y").limit(rows).groupBy(key).agg(F.max("__y").alias("__y"))
-    joined = docs.select(key, F.col(text).alias("__text")).join(F.broadcast(sample), key).select("__text", "__y")
+    known = labels.where(F.col(label).isin(0, 1) & ~held_out(key) & F.col(key).isNotNull()).select(F.col(key).cast("string").alias("__key"), F.col(label).cast("double").alias("__y"), F.xxhash64(key).alias("__h"))
+    sample = known.orderBy("__h", "__y").limit(rows).groupBy("__key").agg(F.max("__y").alias("__y"))
+    column = lambda c: F.col(f"`{c}`")
+    texts = docs.select(column(key).cast("string").alias("__key"), column(text).alias("__text"))
+    joined = texts.join(F.broadcast(sample), "__key").select("__key", "__text", "__y")
 
     def numbers(batches):
         for part in common.sliced(batches, "__text"):
             x = features(part.column("__text"))
-            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64())), part.column("__y")], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([part.column("__key"), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64())), part.column("__y")], ["key", "x", "y"])
 
-    found = joined.mapInArrow(numbers, "x array<double>, y double").toArrow()
+    each = joined.mapInArrow(numbers, "key string, x array<double>, y double")
+    found = each.groupBy("key").agg(F.min("x").alias("x"), F.max("y").alias("y")).toArrow()
     x = np.array(found.column("x").to_pylist(), float).reshape(-1, len(FEATURES))
     y = found.column("y").to_numpy()
     order = np.lexsort((*x.T, y))  # the same model whatever the order in which rows arrive
@@ -205,7 +210,8 @@ def score(docs: DataFrame, model: AdditiveModel, text: str = "text") -> DataFram
             first = last
         return pa.array(np.concatenate(out))
 
-    return docs.withColumn("__score", scored(F.col(text)))
+    common.refuse(docs, "__score")
+    return docs.withColumn("__score", scored(F.col(f"`{text}`")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

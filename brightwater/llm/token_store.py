@@ -10,7 +10,7 @@ follows from the sums of ids of each partition, one number a partition, and from
 
 Defined cases: a null or empty text is just the end id; rows with equal ids (null first) follow each other in the order
 of their tokens' checksum; an id that the table lacks and a damaged file raise TokenFileError; an empty table gives no
-file and an empty result.
+file and an empty result; columns besides id and text are left out, so their names can't clash.
 """
 
 from __future__ import annotations
