@@ -11,7 +11,8 @@ Defined cases: null and empty texts, those without a letter, and those of LEAST_
 than chance are rejected as "und"; shorter ones with a letter go by the other evidence; null declarations, addresses
 and hosts are neutral; ties go to the first language in
 alphabetical order; with no labelled row at all every text is "und". Repeated rows are judged alike, an empty table
-gives an empty result, and other columns pass through.
+gives an empty result, and other columns pass through, whatever their names; only those named like a new column are
+refused with a ValueError.
 """
 
 from __future__ import annotations
@@ -135,7 +136,8 @@ def _evidence(model: TextModel):
         sizes = np.where(known, weighted.shape[1], 0)
         return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(weighted[known].ravel()))
 
-    return evidence
+    # Else a filter on what follows from it would be moved below, with a second evaluation of all texts.
+    return evidence.asNondeterministic()
 
 
 def _softmax(logs: Column) -> Column:
@@ -178,6 +180,7 @@ def address_host(url: Column) -> Column:
 def identify(docs: DataFrame, model: TextModel, text: str = "text", declared: Column | None = None, host: Column | None = None) -> DataFrame:
     """docs with __lang ("und" if rejected as no language), __confidence, __text_lang and __accepted."""
     common.prepare(docs.sparkSession)
+    common.refuse(docs, "__text_lang", "__lang", "__confidence", "__accepted")
     languages = model.languages
     if not languages:
         none = F.lit(None).cast("string")
