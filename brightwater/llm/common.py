@@ -90,18 +90,20 @@ def cut(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def join_keyed(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, how: str = "inner", weight: Column | None = None) -> DataFrame:
+def join_keyed(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str, how: str = "inner", weight: Column | None = None, grows: bool = False) -> DataFrame:
     """rows joined with per_key, which has one row for each key and the key's number of rows in column count.
 
     Keys that hold over 1/MAX_HOT of all rows (so MAX_HOT keys at most) are joined by broadcast where their rows
     lie; only the other keys are shuffled. Where rows of per_key hold lists, ``weight`` is their size in bytes: those over
-    HOT_BYTES are shuffled in any case, so what is broadcast has MAX_HOT * HOT_BYTES at most. Both inputs should be cheap
-    to read twice.
+    HOT_BYTES are shuffled in any case, so what is broadcast has MAX_HOT * HOT_BYTES at most. ``grows`` says that per_key
+    grows with the corpus: then the rest is merged at any size, and what a small run moves tells what a large one does.
+    Both inputs should be cheap to read twice.
     """
-    least = max(1000, rows.count() // MAX_HOT)
+    least = max(100, rows.count() // MAX_HOT)
     is_light = F.lit(True) if weight is None else F.coalesce(weight <= HOT_BYTES, F.lit(True))
     chosen = F.coalesce((F.col(count) > least) & is_light, F.lit(False))
     hot, rest = per_key.where(chosen), per_key.where(~chosen)
+    rest = rest.hint("merge") if grows else rest
     is_hot = F.broadcast(hot.select(*keys))
     cold = rows.join(is_hot, keys, "left_anti").join(rest, keys, how)
     return rows.join(F.broadcast(hot), keys).unionByName(cold)

@@ -7,14 +7,14 @@ threshold, so that two sets just at it miss all bands with a chance under MISS.
 Equal sets are one node from the start. Of nodes that share a band only those can have a link whose shingles are shared
 enough: a node with u shingles that no other candidate has is at best (n - u) / n similar to anything. In each band the
 node with the fewest such shingles is compared with all others, the links are confirmed on full sets, and components
-formed. Where a band still holds several components, its nodes are compared across components only, and only if they
-share one of their rarest shingles at places that leave room for enough others. So no link of two sets that share a
+formed. Where the others of a band are of several components, they are compared across components only, and only if
+they share one of their rarest shingles at places that leave room for enough others. So no link of two sets that share a
 band is lost, and no group is expanded into all its pairs; links of sets that share none are missed.
 
 Defined cases: null and empty texts and those without words have an empty set, are linked with nothing and kept; rows
 with a null id are linked with nothing and kept; rows with the same id are one node that has the links of each; with
 fewer words than a shingle has, the sequence of all is the only one; ties go to the smallest id; an empty table gives an
-empty result; other columns pass through.
+empty result; other columns are left out, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -86,10 +86,10 @@ class Signer:
         return low, high
 
     def keys(self, own: np.ndarray) -> np.ndarray:
-        """One 64-bit key for each band; a permutation's two values go to different bands."""
+        """One 64-bit key for each band, which tells bands apart too; a permutation's two values go to different bands."""
         low, high = self.values(own)
         rows = np.concatenate([low.reshape(-1, BAND_VALUES), high.reshape(-1, BAND_VALUES)])
-        return common.mix((common.mix(rows) * self.power).sum(axis=1, dtype=np.uint64))
+        return common.mix((common.mix(rows) * self.power).sum(axis=1, dtype=np.uint64) + np.arange(len(rows), dtype=np.uint64))
 
 
 def signatures(docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
@@ -145,7 +145,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep[i] = 100 * both >= percent * (len(p) + len(q) - both)
             yield pa.RecordBatch.from_arrays([a.filter(pa.array(keep)), b.filter(pa.array(keep))], ["a", "b"])
 
-    joined = common.join_keyed(pairs, left, ["a"], "degree").select("a", "b", "x").join(right, "b").select("a", "b", "x", "y")
+    joined = common.join_keyed(pairs, left, ["a"], "degree", weight=F.size("x") * 8).select("a", "b", "x").join(right, "b").select("a", "b", "x", "y")
     return common.cut(joined.mapInArrow(compare, "a long, b long"), "links")
 
 
@@ -160,28 +160,33 @@ def _prefix_pairs(nodes: DataFrame, percent: int) -> DataFrame:
 
     With all shingles in one order, rarest first, two similar sets share one among the first n - percent * n + 1 of
     each; all that stand before the first shared one are not shared, which bounds the similarity. A shingle's rows of
-    its smallest component meet only those of its others.
+    its smallest component meet only those of its others. Shingles of one set only come first in that order, so they are
+    counted, not ranked.
     """
-    rows = common.cut(nodes.select("id", F.xxhash64("shingles").alias("set"), "n", "component", F.explode("shingles").alias("h")), "shingles")
-    counts = rows.groupBy("h").agg(F.count("*").alias("df"), F.min("component").alias("x"), F.max("component").alias("y"))
-    ranked = common.join_keyed(rows, common.cut(counts, "counts"), ["h"], "df")
-    place = (F.row_number().over(Window.partitionBy("id", "set").orderBy("df", "h")) - 1).alias("place")
-    ranked = ranked.select("id", "n", "component", "h", "df", "x", "y", place)
+    sets = common.cut(nodes.select(F.xxhash64("id", "shingles").alias("set"), "id", "n", "component", "shingles"), "open-sets")
+    rows = sets.select("set", "component", F.explode("shingles").alias("h"))
+    counts = rows.groupBy("h").agg(F.count("*").alias("df"), F.min("component").alias("x"), F.max("component").alias("y")).where("df > 1")
+    shared = common.join_keyed(rows.select("set", "h"), common.cut(counts, "counts"), ["h"], "df", grows=True)
+    own = Window.partitionBy("set")
+    # Rows that are there several times have the same rank.
+    ranked = shared.withColumn("r", F.dense_rank().over(own.orderBy("df", "h"))).withColumn("k", F.max("r").over(own)).where("x < y").select("set", "h", "x", "r", "k")
+    ranked = ranked.join(sets.select("set", "id", "n", "component").hint("merge"), "set")
+    place = F.col("n") - F.col("k") + F.col("r") - 1
     first = F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1
-    ranked = common.cut(ranked.where((F.col("place") < first) & (F.col("x") < F.col("y"))), "prefixes")
+    ranked = common.cut(ranked.withColumn("place", place).where(F.col("place") < first).select("h", "id", "n", "component", "place", "x"), "prefixes")
     side = lambda s: [F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "component", "place")]
     others = ranked.where(F.col("component") > F.col("x")).select("h", *side("a"))
-    shared = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
-    fit = (F.col("a_component") != F.col("b_component")) & (100 * shared >= percent * (F.col("a_n") + F.col("b_n") - shared))
+    both = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    fit = (F.col("a_component") != F.col("b_component")) & (100 * both >= percent * (F.col("a_n") + F.col("b_n") - both))
     return others.join(ranked.select("h", *side("b")), "h").where(fit).select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
 
 
 def links(classes: DataFrame, docs: DataFrame, percent: int, key: str, text: str) -> DataFrame:
     """(a, b): confirmed links between class representatives that connect whatever is linked."""
-    rows = classes.select("id", F.posexplode("bands").alias("band", "value"))
-    shared = rows.groupBy("band", "value").agg(F.count("*").alias("size"), F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("band", "value", "size")
+    rows = classes.select("id", F.explode("bands").alias("value"))
+    shared = rows.groupBy("value").agg(F.count("*").alias("size"), F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("value", "size")
     shared = common.cut(shared, "bands")
-    members = common.cut(common.join_keyed(rows, shared, ["band", "value"], "size"), "members")
+    members = common.cut(common.join_keyed(rows, shared, ["value"], "size", grows=True), "members")
     sets = full_sets(docs, members.select("id").distinct(), key, text)
     # Shingles of one candidate only. A 32-bit hash may take some for shared, which just weakens the bound.
     owners = sets.select("id", F.explode("shingles").alias("h")).groupBy(F.hash("h").alias("h")).agg(F.min("id").alias("x"), F.max("id").alias("y"))
@@ -190,16 +195,17 @@ def links(classes: DataFrame, docs: DataFrame, percent: int, key: str, text: str
     # Rows that share an id are one node; the bound says nothing of it then.
     nodes = sizes.join(own, "id", "left").select("id", "n", F.when(F.col("rows") == 1, F.coalesce("u", F.lit(0))).otherwise(0).alias("u"))
     nodes = common.cut(nodes.where((F.col("u") == 0) | (100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))), "nodes")
-    members = common.cut(members.select("band", "value", "id").join(nodes, "id"), "members")
-    centre = members.groupBy("band", "value").agg(F.min(F.struct("u", "id", "n")).alias("c"), F.count("*").alias("size")).where("size > 1")
-    star = common.join_keyed(members, centre, ["band", "value"], "size").select(F.col("c.id").alias("a"), F.col("id").alias("b"), F.col("c.n").alias("a_n"), F.col("c.u").alias("a_u"), F.col("n").alias("b_n"), F.col("u").alias("b_u"))
+    members = common.cut(members.select("value", "id").join(nodes, "id"), "members")
+    centre = common.cut(members.groupBy("value").agg(F.min(F.struct("u", "id", "n")).alias("c"), F.count("*").alias("size")).where("size > 1"), "centres")
+    star = common.join_keyed(members, centre, ["value"], "size", grows=True).select(F.col("c.id").alias("a"), F.col("id").alias("b"), F.col("c.n").alias("a_n"), F.col("c.u").alias("a_u"), F.col("n").alias("b_n"), F.col("u").alias("b_u"))
     star = common.cut(star.where((F.col("a") != F.col("b")) & _possible(percent, "a", "b")).select("a", "b").distinct(), "pairs")
     linked = confirmed(star, sets, percent)
     found = components(linked)
-    # What is left: bands that hold several components.
-    placed = common.cut(members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
-    mixed = placed.groupBy("band", "value").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x < y").select("band", "value", "size")
-    open_ = common.cut(common.join_keyed(placed, mixed, ["band", "value"], "size").groupBy("id").agg(F.first("component").alias("component")), "open")
+    # What is left: bands whose nodes, but for the centre that was compared with all, are of several components.
+    others = common.join_keyed(members, centre.select("value", "size", F.col("c.id").alias("centre")), ["value"], "size", grows=True).where(F.col("id") != F.col("centre")).select("value", "id")
+    placed = common.cut(others.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
+    mixed = placed.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x < y").select("value", "size")
+    open_ = common.cut(common.join_keyed(placed, common.cut(mixed, "mixed"), ["value"], "size", grows=True).groupBy("id").agg(F.first("component").alias("component")), "open")
     rest = _prefix_pairs(sets.select("id", "n", "shingles").join(open_, "id"), percent)
     rest = common.cut(rest.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
     more = confirmed(rest, sets, percent)
