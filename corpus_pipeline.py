@@ -41,9 +41,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     marks = near_dedup.mark(docs)
-    # Ids that go are all of a group but one; rows without an id stay.
+    # Ids that go are all of a group but one; rows without an id stay. They grow with the corpus, so they are merged at any size.
     gone = marks.where(~F.col("kept")).select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
