@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import datetime
+import functools
 import hashlib
 import io
 import re
@@ -186,6 +187,7 @@ def split_http(block: bytes) -> tuple[bytes, bytes]:
     return (block[: found.end()], block[found.end() :]) if found else (block, b"")
 
 
+@functools.lru_cache(4096)
 def iso_date(digits: str) -> str:
     """ISO form of an ARC date of 14 digits (shorter ones are filled up); the epoch if it is none."""
     try:
