@@ -8,11 +8,12 @@ LENGTH bytes: the first buckets are those of 8-byte strings, and each is sorted
 updates are used again, so that the depth doubles; buckets of one leave the work.
 
 An anchor that very many contents share is split: its windows fall into SPLIT classes by their offset, all windows of a
-class hold the same longer string around the anchor, and that string's hash takes the anchor's place.
+class hold the same longer string around the anchor, and that string's hash takes the anchor's place. Where over CROWD
+stretches still meet, as at the ends of a passage that very many contents share, their windows are told apart singly.
 
 Defined cases: a null text is empty; texts shorter than LENGTH keep all their bytes; strings are compared as UTF-8 bytes
 and never cross texts, but may overlap in one; repeated rows are copies of each other; ids don't matter, null or equal;
-an empty table gives an empty result.
+an empty table gives an empty result; other columns are left out, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -30,9 +31,16 @@ LENGTH, GRAM = 400, 128
 SECTION = 1 << 20
 #: Contents that share an anchor from which on it is split, and into how many classes.
 SPLIT_FROM, SPLIT = 400, 8
+#: Stretches that meet from which on they are compared window by window, each window on its own.
+CROWD = 800
 #: Bytes of stretches whose buckets are refined together; more only where one anchor has more.
 BATCH_BYTES, PART_BYTES = 1 << 20, 16 << 20
+#: Words of a passage that counts as repeated, whatever its bytes; and of the strings that stand for it.
+PASSAGE, PASSAGE_GRAM = 50, 36
 _PLACE = np.uint64(SECTION * 2 - 1)
+_WORD_PLACE = np.uint64((1 << 24) - 1)
+_WORD = np.ones(256, bool)
+_WORD[[9, 10, 11, 12, 13, 32]] = False
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -68,6 +76,33 @@ def anchors(body: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[n
     return hashes[place[first]], place[first], start[first], start[np.append(first[1:], len(start)) - 1]
 
 
+def prints(body: np.ndarray, at: np.ndarray, words: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of strings of ``gram`` words, so chosen that each passage of ``words`` words holds a chosen one, by its own words alone."""
+    _, _, hashes, first = common.words_of(body, at, _WORD)
+    texts, found, width = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], words - gram + 1
+    i = 0
+    while i < len(at) - 1:  # texts of PIECE words together, or one that is longer in parts that overlap
+        j = max(i + 1, int(np.searchsorted(first, first[i] + common.PIECE, "right")) - 1)
+        for a in range(int(first[i]), max(int(first[i]) + 1, int(first[j]) - words + 1), 16 * common.PIECE):
+            own = hashes[a : min(int(first[j]), a + 16 * common.PIECE + words - 1)]
+            if len(own) < words:
+                continue
+            total = np.zeros(len(own) + 1, np.uint64)
+            np.cumsum(own * common.powers(common.BASE, len(own))[: len(own)], out=total[1:])
+            strings = common.mix((total[gram:] - total[:-gram]) * common.powers(common.UNBASE, len(own))[: len(own) - gram + 1])
+            places = np.arange(len(strings))
+            last = first[np.searchsorted(first, a + places, "right")] - a  # where the text of each place ends
+            key = (strings & ~_WORD_PLACE) | places.astype(np.uint64)
+            key[places + gram > last] = np.iinfo(np.uint64).max
+            least = _sliding_min(key, width)
+            chosen = np.unique((least[places[: len(least)] + words <= last[: len(least)]] & _WORD_PLACE).astype(np.int64))
+            texts.append(np.searchsorted(first, a + chosen, "right") - 1)
+            found.append(strings[chosen])
+        i = j
+    pairs = np.unique(np.stack([np.concatenate(texts).view(np.uint64), np.concatenate(found)], axis=1), axis=0)
+    return pairs[:, 0].view(np.int64), pairs[:, 1]
+
+
 def _sections(texts: pa.Array, length: int):
     """Pieces of up to SECTION bytes: (bytes, offsets, number of the first text, its bytes before); longer texts in parts that overlap."""
     body, at = common.utf8(texts)
@@ -89,7 +124,7 @@ def _halves(digest: bytes) -> tuple[int, int]:
 
 
 def contents(docs: DataFrame, key: str, text: str, length: int, gram: int) -> DataFrame:
-    """(id, c1, c2, n_bytes, sha256, hashes, places) of each row: c1 and c2 stand for the text; places hold an anchor's place, and its least and greatest offset in a window; written."""
+    """(id, c1, c2, n_bytes, sha256, hashes, places, prints) of each row: c1 and c2 stand for the text; places hold an anchor's place, and its least and greatest offset in a window; written."""
 
     def find(batches):
         common.owner("suffix_dedup")
@@ -109,10 +144,12 @@ def contents(docs: DataFrame, key: str, text: str, length: int, gram: int) -> Da
             halves = [_halves(d) for d in digests]
             columns = [part.column("id"), *(pa.array([h[i] for h in halves], pa.int64()) for i in (0, 1)), pa.array(np.diff(at), pa.int64()), pa.array([d.hex() for d in digests])]
             lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x).view(np.int64))) for x in (hashes, places)]
-            yield pa.RecordBatch.from_arrays(columns + lists, ["id", "c1", "c2", "n_bytes", "sha256", "hashes", "places"])
+            of, strings = prints(body, at, PASSAGE, PASSAGE_GRAM)
+            lists.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(part.num_rows + 1)), pa.int32()), pa.array(strings.view(np.int64))))
+            yield pa.RecordBatch.from_arrays(columns + lists, ["id", "c1", "c2", "n_bytes", "sha256", "hashes", "places", "prints"])
 
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return common.cut(rows.mapInArrow(find, "id long, c1 long, c2 long, n_bytes long, sha256 string, hashes array<long>, places array<long>"), "contents")
+    return common.cut(rows.mapInArrow(find, "id long, c1 long, c2 long, n_bytes long, sha256 string, hashes array<long>, places array<long>, prints array<long>"), "contents")
 
 
 def _stretches(length: int, gram: int, slim: bool):
@@ -238,18 +275,62 @@ def _verdicts(length: int):
     return judge
 
 
+def _windows(length: int):
+    """A function of stretches that meet with very many others: each of their windows by itself, as 128 bits."""
+
+    def make(batches):
+        for batch in batches:
+            rows = []
+            for f1, f2, copies, owned, body in zip(*(batch.column(c).to_pylist() for c in ("f1", "f2", "copies", "owned", "body")), strict=True):
+                for i in range(owned):
+                    rows.append((f1, f2, i, copies, *_halves(hashlib.blake2b(body[i : i + length], digest_size=16).digest())))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["f1", "f2", "i", "copies", "w1", "w2"])
+
+    return make
+
+
+def _masks(batches):
+    """(f1, f2, copies, mask) of stretches with the numbers of their repeated windows."""
+    for batch in batches:
+        masks = []
+        for own in batch.column("repeated").to_pylist():
+            bits = np.zeros(max(own) + 1, bool)
+            bits[own] = True
+            masks.append(np.packbits(bits, bitorder="little").tobytes())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("f1", "f2", "copies")), pa.array(masks, pa.binary())], ["f1", "f2", "copies", "mask"])
+
+
+def _crowded(stretches: DataFrame, length: int) -> DataFrame:
+    """(f1, f2, copies, mask) of stretches of crowded meetings with repeated windows.
+
+    All windows of a meeting have the same string around their anchor, so its stretches differ only in what lies further
+    out. Where so many meet, the last refinement is by the windows themselves: equal ones are counted, partly before the
+    shuffle, and no task holds a meeting.
+    """
+    windows = common.cut(stretches.mapInArrow(_windows(length), "f1 long, f2 long, i long, copies long, w1 long, w2 long"), "windows")
+    often = common.cut(windows.groupBy("w1", "w2").agg(F.sum("copies").alias("n"), F.count("*").alias("size")).where("n > 1").select("w1", "w2", "size"), "often")
+    found = common.join_keyed(windows, often, ["w1", "w2"], "size").groupBy("f1", "f2", "i").agg(F.sum("copies").alias("copies"))
+    return found.groupBy("f1", "f2").agg(F.max("copies").alias("copies"), F.collect_list("i").alias("repeated")).mapInArrow(_masks, "f1 long, f2 long, copies long, mask binary")
+
+
 def _content(text: Column) -> dict[str, Column]:
     sha = F.sha2(text, 256)
     return {"c1": F.conv(F.substring(sha, 1, 16), 16, -10).cast("long"), "c2": F.conv(F.substring(sha, 17, 16), 16, -10).cast("long")}
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, spans[, kept]) of each row; spans are maximal runs [start, end) of removed bytes."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, spans, passage[, kept]) of each row.
+
+    spans are maximal runs [start, end) of removed bytes. passage says whether the text holds a passage of PASSAGE words
+    that another row holds too, also if that has fewer bytes than are removed: always found from PASSAGE words on, never
+    below PASSAGE_GRAM.
+    """
     if not 0 <= length - gram < 1023:
         raise ValueError("length has to be gram or more, by 1022 at most: offsets in a window are held in ten bits")
     spark = common.prepare(docs.sparkSession)
     base = contents(docs, key, text, length, gram)
-    classes = base.groupBy("c1", "c2").agg(F.count("*").alias("size"), F.min("id").alias("id"), F.first("n_bytes").alias("n_bytes"), F.first("sha256").alias("sha256"), F.first("hashes").alias("hashes"), F.first("places").alias("places"))
+    classes = base.groupBy("c1", "c2").agg(F.count("*").alias("size"), F.min("id").alias("id"), F.first("n_bytes").alias("n_bytes"), F.first("sha256").alias("sha256"), F.first("hashes").alias("hashes"), F.first("places").alias("places"), F.first(F.size("prints")).alias("n_prints"))
     classes = common.cut(classes, "classes")
     spots = classes.select("c1", "c2", F.explode(F.arrays_zip("hashes", "places")).alias("a")).select("c1", "c2", F.col("a.hashes").alias("hash"), F.col("a.places").alias("place"))
     which = F.xxhash64("c1", "place")
@@ -260,11 +341,13 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", length: i
     candidates = common.cut(plain.withColumns(_content(F.col("text"))).join(wanted, ["id", "c1", "c2"]).select("c1", "c2", "text", "found"), "candidates")
 
     make, schema = _stretches(length, gram, slim=False)
-    stretches = candidates.mapInArrow(make, schema)
+    stretches = common.cut(candidates.mapInArrow(make, schema), "stretches")
+    crowds = common.cut(stretches.groupBy("meet").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("meet"), "crowds")
     n_bytes = candidates.agg(F.sum(F.size("found"))).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, n_bytes * (2 * length - gram) // PART_BYTES)
-    met = stretches.repartition(int(parts), "meet").sortWithinPartitions("meet")
+    met = stretches.join(crowds, "meet", "left_anti").repartition(int(parts), "meet").sortWithinPartitions("meet")
     verdicts = met.mapInArrow(_verdicts(length), "f1 long, f2 long, copies long, mask binary")
+    verdicts = verdicts.unionByName(_crowded(stretches.join(crowds, "meet", "left_semi"), length))
     verdicts = common.cut(verdicts.groupBy("f1", "f2").agg(F.sum("copies").alias("copies"), F.max("mask").alias("mask")), "verdicts")
     make, schema = _stretches(length, gram, slim=True)
     windows = common.cut(candidates.mapInArrow(make, schema), "windows")
@@ -294,19 +377,26 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", length: i
     judged = common.cut(judged, "judged")
     copied = (F.col("size") > 1) & (F.col("n_bytes") >= length)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
+    # Passages that other contents hold too, whether or not they have LENGTH bytes.
+    prints_ = base.select("c1", F.explode("prints").alias("print"))
+    met_ = common.cut(prints_.groupBy("print").agg(F.min("c1").alias("x"), F.max("c1").alias("y"), F.count("*").alias("n")).where("x < y").select("print", "n"), "prints")
+    passages = common.join_keyed(prints_, met_, ["print"], "n").select("c1").distinct().withColumn("in_others", F.lit(True))
+    classes = classes.join(passages, "c1", "left")
     columns = {
+        "passage": F.coalesce(F.col("in_others"), F.lit(False)) | ((F.col("size") > 1) & (F.col("n_prints") > 0)),
         "n_removed": F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long"),
         "n_spans": F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long"),
         "kept_sha256": F.when(copied, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha256")),
         "spans": F.when(copied, whole).otherwise(F.coalesce("spans", F.array().cast(span))),
         "kept": F.when(copied, F.lit(b"")).otherwise(F.col("kept")),
     }
-    placed = common.cut(classes.select("c1", "c2", "size", "n_bytes", "sha256").join(judged, ["c1", "c2"], "left").select("c1", "c2", "size", *(c.alias(k) for k, c in columns.items())), "placed")
+    placed = common.cut(classes.select("c1", "c2", "size", "n_bytes", "sha256", "in_others", "n_prints").join(judged, ["c1", "c2"], "left").select("c1", "c2", "size", *(c.alias(k) for k, c in columns.items())), "placed")
     out = common.join_keyed(base.select(F.nullif("id", F.lit(-(2**63))).alias("id"), "c1", "c2", "n_bytes"), placed, ["c1", "c2"], "size")
-    return out.select("id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", *(["kept"] if keep_text else []))
+    return out.select("id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "passage", *(["kept"] if keep_text else []))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """One row for each document: its bytes, those removed, their runs, and the digest of what is left."""
+    """One row for each document: its bytes, those removed, their runs, and the digest of what is left; then whether any
+    were removed, and whether it holds a passage of 50 words that another document holds too."""
     out = removals(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_removed") > 0).alias("any_removed"), F.col("passage").alias("repeated_passage"))
